@@ -3,18 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, mpeg_audio
-from .common import table
+from . import langid, line_dedup, mixing, mpeg_audio, simhash
+from .common import crc_mod, table
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def language_model(docs: DataFrame) -> langid.LanguageModel:
+    """Learnt from the documents that are not held out."""
+    return langid.fit(langid.sample(docs.where(crc_mod(F.col("doc_id"), 4) != 2)))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op10_mpeg_audio)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op4_simhash, op7_line_dedup, op8_language_id, op10_mpeg_audio)}
+SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL}
