@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, mixing, mpeg_audio, simhash
+from . import decontaminate, html_extract, langid, line_dedup, mixing, mpeg_audio, simhash
 from .common import crc_mod, table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "distance", "budget")
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -32,9 +36,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op4_simhash, op7_line_dedup, op8_language_id, op10_mpeg_audio)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_source_mix, op4_simhash, op7_line_dedup, op8_language_id, op9_main_text, op10_mpeg_audio)}
 SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL}
