@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, langid, line_dedup, mixing, mpeg_audio, simhash
+from . import decontaminate, html_extract, langid, line_dedup, mixing, mpeg_audio, secrets, simhash, url_filter
 from .common import crc_mod, table
 
 
@@ -21,6 +21,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.fit(secrets.labelled_findings(spark)))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -44,5 +52,5 @@ def op10_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_source_mix, op4_simhash, op7_line_dedup, op8_language_id, op9_main_text, op10_mpeg_audio)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_source_mix, op4_simhash, op5_secret_scan, op6_url_filter, op7_line_dedup, op8_language_id, op9_main_text, op10_mpeg_audio)}
 SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL}
