@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, langid, line_dedup, mixing, mpeg_audio, secrets, simhash, url_filter
+from . import decontaminate, html_extract, langid, line_dedup, lm_score, mixing, mpeg_audio, secrets, simhash, url_filter
 from .common import crc_mod, table
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "distance", "budget")
 
@@ -52,5 +56,5 @@ def op10_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_source_mix, op4_simhash, op5_secret_scan, op6_url_filter, op7_line_dedup, op8_language_id, op9_main_text, op10_mpeg_audio)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_decontaminate, op3_source_mix, op4_simhash, op5_secret_scan, op6_url_filter, op7_line_dedup, op8_language_id, op9_main_text, op10_mpeg_audio)}
 SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL}
