@@ -1,0 +1 @@
+"""Graph analytics, embedding and map tiling on Spark DataFrames."""
