@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import discard, materialise, shared_dir
+
+__all__ = ["WORD", "arrow_batches", "ascii_words", "crc_mod", "discard", "hash31", "id_text", "materialise", "sample_below", "shared_dir", "table", "text_key", "without"]
+
 #: A word is a run of anything but ASCII white space; Python's bytes.split() cuts at the same bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,35 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in a single-process session."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
-    made = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write a table into the shared folder and read it again: cuts the lineage, and outlives any executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Remove the files of a materialised table that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def id_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
