@@ -13,8 +13,8 @@ def edge_weight(a: Column, b: Column) -> Column:
 
 
 def alias_weight(degree: Column) -> Column:
-    """Neighbours of high degree count less: 1 / log(1 + degree)."""
-    return F.lit(1.0) / F.log1p(degree)
+    """Neighbours of high degree count less: 1 / log(1 + degree); null at degree 0."""
+    return F.when(degree > 0, F.lit(1.0) / F.log1p(degree))
 
 
 def quantise16(p: Column) -> Column:
