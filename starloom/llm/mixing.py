@@ -78,7 +78,7 @@ def apportion(parties: DataFrame, claim: str, seats: str, group: list[str], key:
     return x.join(won, names, "left").withColumn(out, F.col("_low") + F.coalesce("_won", F.lit(0))).drop("_n", "_c", "_low", "_high", "_open", "_won")
 
 
-def mix(docs: DataFrame, seed: int = 11, max_epochs: int = 3, n_weights: int = 3, block_tokens: int = 1024, blocks_per_source: int = 1000, shard_root: int = 10_000) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 11, max_epochs: int = 3, n_weights: int = 3, block_tokens: int = 1024, blocks_per_source: int = 1000, shard_root: int = 1000) -> DataFrame:
     """All rows of `docs` (doc_id, text, source, ...) with size, source_size, target and taken.
 
     Blocks have `block_tokens` words, or fewer where an average source would have fewer than `blocks_per_source`.
