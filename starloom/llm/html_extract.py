@@ -277,6 +277,8 @@ class TreeModel:
             x, y = b0[i] / s, b1[i] / s
             b0[i], b1[i] = x, y
             u, v = e00 * x + e01 * y, e10 * x + e11 * y
+            s = u + v
+            u, v = u / s, v / s
             up0[i], up1[i] = u, v
             p = parents[i]
             b0[p] *= u

@@ -2,7 +2,7 @@
 
 A line is what line feeds separate; its key is the line without leading and trailing spaces, tabs and carriage returns. Lines whose key
 is empty belong to no window. Each three consecutive other lines form a window, named by two 64-bit hashes of its keys. Of all occurrences of a window
-in the table, the first by (doc_id, text, position) stays; every later one covers its three lines. Covered positions are merged and
+in the table, the first by (doc_id, hash of the text, position) stays; every later one covers its three lines. Covered positions are merged and
 those lines removed; what is left is joined by line feeds again.
 
 A null text stays null; texts of fewer than three lines stay as they are. Rows with equal doc_id and text are one document and all get its result.
