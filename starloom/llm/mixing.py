@@ -125,3 +125,43 @@ def taken_before(x: str) -> str:
     j = f"(({x} * _n) div _shard_size)"
     before, after = f"(({j} * _q + _u) div _n)", f"((({j} + 1) * _q + _u) div _n)"
     return f"(_shard_size * {before} + ({x} * _n - {j} * _shard_size) * ({after} - {before})) div _n"
+
+
+#: mix() with its default parameters, with every quotient of every seat written out.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    CASE WHEN source IS NULL THEN 'n' ELSE 'a' || source END AS k, md5('11:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), g AS (SELECT coalesce(sum(size), 0)::BIGINT AS total, greatest(count(DISTINCT k), 1)::BIGINT AS n FROM d
+), o AS (SELECT total, n, greatest(1, least(1024, total // (n * 1000)))::BIGINT AS block, greatest(1, floor(sqrt(total / 1000.0)))::BIGINT AS shards FROM g
+), b AS (SELECT d.*, ('0x' || substr(h, 1, 8))::BIGINT % shards AS s FROM d, o
+), parts AS (SELECT k, s, sum(size)::BIGINT AS ss FROM b GROUP BY k, s
+), r AS (SELECT k, sum(ss)::BIGINT AS source_size, ((row_number() OVER (ORDER BY k) - 1) % 3 + 1)::BIGINT AS w FROM parts GROUP BY k
+), l AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER v, 0))::DOUBLE AS lft, (sum(w) OVER () - coalesce(sum(w) OVER v, 0))::DOUBLE AS wl
+  FROM r WINDOW v AS (ORDER BY source_size / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), c AS (SELECT *, lft / wl * w >= 3 * source_size AS capped FROM l
+), t AS (
+  SELECT k, source_size, CASE WHEN capped THEN source_size * 3.0::DOUBLE ELSE (SELECT lft / wl FROM c WHERE NOT capped ORDER BY source_size / w, k LIMIT 1) * w END AS target FROM c
+), x AS (
+  SELECT k, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, k, seat) AS place FROM (
+    SELECT k, target, unnest(range(0, (target / (SELECT sum(target) FROM t) * (total // block))::BIGINT + n + 2)) AS seat FROM t, o WHERE target > 0)
+), q1 AS (SELECT k, count(*) AS blocks FROM x, o WHERE place <= total // block GROUP BY k
+), y AS (
+  SELECT k, s, blocks, row_number() OVER (PARTITION BY k ORDER BY ss / (2 * seat + 1) DESC, s, seat) AS place FROM (
+    SELECT k, s, ss, blocks, unnest(range(0, (ss / source_size * blocks)::BIGINT + shards + 2)) AS seat FROM parts JOIN r USING (k) JOIN q1 USING (k), o WHERE ss > 0)
+), q2 AS (SELECT k, s, count(*) AS quota FROM y WHERE place <= blocks GROUP BY k, s
+), z AS (
+  SELECT k, s, ss, source_size, target, greatest(1, round(ss / block::DOUBLE))::BIGINT AS n, least(coalesce(quota, 0) * block, ss * 3) AS words
+  FROM parts JOIN t USING (k) LEFT JOIN q2 USING (k, s), o
+), f AS (
+  SELECT *, CASE WHEN ss > 0 THEN round(words::DOUBLE * n / ss) ELSE 0 END::BIGINT AS q, ('0x' || substr(md5('11:' || k || ':' || s), 1, 7))::BIGINT % n AS u FROM z
+), p AS (
+  SELECT doc_id, source, size, source_size, target, ss, n, q, u,
+    (sum(size) OVER (PARTITION BY k, s ORDER BY h, coalesce(doc_id::VARCHAR, ''), size ROWS UNBOUNDED PRECEDING))::BIGINT AS e FROM b JOIN f USING (k, s)
+), j AS (SELECT *, (e * n) // greatest(ss, 1) AS j1, ((e - size) * n) // greatest(ss, 1) AS j0, e - size AS a FROM p)
+SELECT doc_id, source, size, source_size, target, CASE WHEN ss = 0 THEN 0 ELSE
+  (ss * ((j1 * q + u) // n) + (e * n - j1 * ss) * (((j1 + 1) * q + u) // n - (j1 * q + u) // n)) // n
+  - (ss * ((j0 * q + u) // n) + (a * n - j0 * ss) * (((j0 + 1) * q + u) // n - (j0 * q + u) // n)) // n END::BIGINT AS taken
+FROM j
+"""

@@ -57,4 +57,4 @@ def op10_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_decontaminate, op3_source_mix, op4_simhash, op5_secret_scan, op6_url_filter, op7_line_dedup, op8_language_id, op9_main_text, op10_mpeg_audio)}
-SQL: dict[str, str] = {"op7_line_dedup": line_dedup.SQL}
+SQL: dict[str, str] = {"op3_source_mix": mixing.SQL, "op7_line_dedup": line_dedup.SQL}

@@ -1,10 +1,13 @@
 import heapq
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import mixing
 
+from .conftest import SF
+
 
 def water(sizes, cap=3):
     """Targets by repeated sharing, as the definition says. sizes: by source in order."""
@@ -42,6 +45,13 @@ def test_targets_and_shares(docs):
     assert {(r["doc_id"], r["taken"]) for r in mixing.mix(docs, seed=12).collect()} != again
 
 
+def test_against_sql(docs):
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    got = mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken").collect()
+    assert sorted(map(tuple, got)) == sorted(c.sql(mixing.SQL).fetchall())
+
+
 def test_sizes(docs, texts):
     assert all(r["size"] == len(texts[r["doc_id"]].encode().split()) for r in mixing.mix(docs).collect())
 
