@@ -192,6 +192,13 @@ def draw_neighbours(draws: DataFrame, table: DataFrame, seed: int = 0) -> DataFr
     return hit.select(*draws.columns, F.when(keep, F.col("neighbour")).otherwise(F.col("alias")).alias("neighbour"))
 
 
+def draw_uniform(draws: DataFrame, table: DataFrame, seed: int = 0) -> DataFrame:
+    """As draw_neighbours, each edge of a node with the same chance; `table` needs node, slot, neighbour."""
+    size = table.groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
+    spin = draws.join(size, "node", "left").withColumn("slot", F.floor(uniform(F.lit(seed), "draw", "node") * F.col("_n")))
+    return spin.join(table.select("node", "slot", "neighbour"), ["node", "slot"], "left").select(*draws.columns, "neighbour")
+
+
 def sampled_two_hop(nodes: DataFrame, out_table: DataFrame, in_table: DataFrame, seed: int = 0) -> DataFrame:
     """(a, b) pairs for nodes (node, deficit): so many draws of a followee, then of one of its followers; pairs with itself are dropped."""
     draws = nodes.select(F.col("node").alias("a"), F.explode(F.sequence(F.lit(1), F.col("deficit"))).alias("k")).withColumn("draw", F.xxhash64("a", "k"))

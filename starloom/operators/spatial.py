@@ -108,7 +108,6 @@ def tiles(points: DataFrame, capacity: int, area: Area | None = None) -> DataFra
     Points are counted once into the finest cells; levels are then sums of cells below crowded tiles. More than `capacity` equal points raise.
     """
     area = area or area_of(points)
-    spark = points.sparkSession
     fine = materialise(cells(points, area, MAX_DEPTH).select("path", "total"), "cells")
     parts = [fine.agg(F.lit("").alias("path"), F.sum("total").alias("total")).where("total > 0")]
     crowded = materialise(parts[0].where(F.col("total") > capacity), "tiles")
@@ -125,7 +124,6 @@ def tiles(points: DataFrame, capacity: int, area: Area | None = None) -> DataFra
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    del spark
     side = F.lit(area.side) / F.pow(F.lit(2.0), F.length("path"))
     at = {0: (1, 1), 1: (-1, 1), 2: (-1, -1), 3: (1, -1)}
 
