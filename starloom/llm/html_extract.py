@@ -65,7 +65,8 @@ HINTS = {
     "main": "article content main post entry story body text maincontent page-content prose".split(),
 }
 _HINT_OF = {w: k for k, ws in HINTS.items() for w in ws}
-_MARKUP = re.compile(r"""<!--|<!|<\?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>""")
+# Possessive, and no tag reaches past the next <: a page of unclosed tags is read in one pass.
+_MARKUP = re.compile(r"""<!--|<!|<\?|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDES = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
