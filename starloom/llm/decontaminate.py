@@ -89,7 +89,7 @@ class Matcher:
         if self.empty or not text:
             return []
         found: dict[int, tuple[int, int]] = {}
-        tried: dict[int, list[tuple[int, int]]] = {}
+        tried: dict[int, set[int]] = {}
         for end, (size, places) in self.automaton.iter(text):
             for i, offset in places:
                 item_id, pattern, k, masks, _, grams = self.items[i]
@@ -97,7 +97,7 @@ class Matcher:
                     continue
                 m, start = len(pattern), end + 1 - size - offset
                 a, b = max(0, start - k), min(len(text), start + m + k)
-                if b - a < m - k or any(x <= start <= y for x, y in tried.get(i, ())):
+                if b - a < m - k or start in tried.get(i, ()):
                     continue
                 if text[max(0, start) : start + m] == pattern:
                     found[i] = (0, start + m)
@@ -108,7 +108,7 @@ class Matcher:
                     continue
                 hit = myers(masks, m, window, k)
                 # The same alignment need not be verified again for its other pieces.
-                tried.setdefault(i, []).append((start, start))
+                tried.setdefault(i, set()).add(start)
                 if hit and (i not in found or (hit[0], a + hit[1]) < found[i]):
                     found[i] = (hit[0], a + hit[1])
         out = []
