@@ -30,6 +30,21 @@ def groups(prints, radius=2):
     return [find(i) for i in range(len(a))]
 
 
+def grams(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def jaccard(texts):
+    """Similarity by pair of ids, where it is above 0."""
+    sets, out = {i: grams(t) for i, t in texts.items()}, {}
+    for a in sets:
+        for b in sets:
+            if a < b and (common := len(sets[a] & sets[b])):
+                out[a, b] = common / len(sets[a] | sets[b])
+    return out
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.sampled_from("a b C dd É".split()), max_size=12))
 def test_fingerprint(words):
@@ -54,7 +69,7 @@ def test_bit_planes_and_forest(centers, flips):
         for v in prints:
             near = planes.near(v, radius) if planes.planes else planes.full
             assert [i for i in range(len(a)) if near >> i & 1] == [i for i, x in enumerate(prints) if (x ^ v).bit_count() <= radius]
-    got = {x: x for x in prints} | dict(simhash.forest(a))
+    got = {x: x for x in prints} | {prints[i]: prints[j] for i, j in simhash.forest(a)}
     want = groups(prints)
     assert len({(want[i], got[x]) for i, x in enumerate(prints)}) == len(set(want)) == len(set(got.values()))
 
@@ -82,10 +97,49 @@ def test_chains_and_hot_buckets(spark):
         assert len({(by[p], label.get(p, p)) for p in by}) == len(set(by.values())) == len({label.get(p, p) for p in by})
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.lists(st.integers(0, 255), max_size=70)), min_size=1, max_size=20))
+def test_wide_planes(rows):
+    rng = np.random.default_rng(3)
+    centers = rng.integers(0, 2**63, (3, 4)).astype(np.uint64)
+    prints = np.array([centers[c] ^ np.array([sum(1 << b % 64 for b in set(bits) if b // 64 == w) for w in range(4)], np.uint64) for c, bits in rows])
+    planes = simhash.BitPlanes(prints)
+    for radius in (5, 48):
+        for value, row in zip(planes.values, prints, strict=True):
+            near = planes.near(value, radius)
+            assert [i for i in range(len(prints)) if near >> i & 1] == np.flatnonzero(np.bitwise_count(prints ^ row).sum(1) <= radius).tolist()
+
+
+def test_similar(docs, texts):
+    """Against the similarity of all pairs: from 0.8 on documents share a root, and no member of a group is far from all others."""
+    found = jaccard(texts)
+    for limit in (2048, 2):
+        root = {r["doc_id"]: r["root"] for r in simhash.similar(docs, limit).collect()}
+        assert len(root) == len(texts)
+        assert all(root[a] == root[b] for (a, b), j in found.items() if j >= 0.8)
+        near = {i for pair, j in found.items() if j >= 0.5 for i in pair} | {i for i, t in texts.items() if not (t or "").split()}
+        alone = [i for i in root if list(root.values()).count(root[i]) > 1 and i not in near]
+        assert not alone
+
+
+def test_hot_near_copies(spark):
+    """Hundreds of near copies of one text, beyond the limit of a bucket, and others that only share a passage with it."""
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(200)]
+    copies = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in rng.integers(0, 200, 300)]
+    others = [" ".join(base[:40] + [f"o{i}n{j}" for j in range(160)]) for i in range(50)]
+    df = spark.createDataFrame(list(enumerate([*copies, *others])), "doc_id long, text string")
+    root = {r["doc_id"]: r["root"] for r in simhash.similar(df, 16).collect()}
+    assert len({root[i] for i in range(300)}) == 1 and len(set(root.values())) == 51
+    assert simhash.keep_one(df, 16).count() == 51
+
+
 def test_one_of_each_stays(docs, odd, none):
-    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    found = {}
+    for r in sorted(simhash.similar(docs).collect()):
+        found.setdefault(r["root"], r["doc_id"])
     kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({*found.values()})
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(found.values())
     rows = simhash.keep_one(odd.withColumn("root", F.lit(1)).withColumn("first", F.lit(2))).collect()
     assert sorted((r["doc_id"] or 0) for r in rows) == [0, 1, 4, 6, 7, 8, 9]
     assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == 0
