@@ -13,7 +13,8 @@ Components: minimum labels over the links with pointer jumping, a written table
 one node from the start, so copies never meet in a group.
 
 For the similarity of five-word shingles, 0.8 or more, 64 bits are too few: there similar() compares prints of 256 bits in the same way, with buckets
-from bands of least shingle hashes. keep_one() goes by these groups.
+from bands of least shingle hashes. These prints only propose: inside the groups that they chain together, each link is verified by the exact Jaccard
+similarity of the two shingle sets. keep_one() goes by the verified groups.
 
 Null text, empty text and text without words have fingerprint zero, which links like any other. Rows with equal doc_id and text
 are one document; a component's id is its smallest doc_id that is not null.
@@ -36,8 +37,9 @@ RADIUS = 2
 SHINGLE = 3
 LIMIT = 2048
 CHUNK = 1 << 16
-#: Of the wide prints: words of 64 bits, shingle, radius, and 20 bands of 5 rows (a pair at 0.8 shares one with 99.97 %).
-WORDS, WIDE_SHINGLE, WIDE_RADIUS = 4, 5, 48
+#: Of the wide prints: words of 64 bits, shingle, radius (at 0.8 some 39 bits differ, with a deviation of 6), and 20 bands of 5 rows (a pair at 0.8
+#: shares one with 99.97 %).
+WORDS, WIDE_SHINGLE, WIDE_RADIUS = 4, 5, 72
 BANDS, ROWS = 20, 5
 
 
@@ -205,24 +207,35 @@ def _wide(texts: pd.Series) -> pd.Series:
     return pd.Series([signature(t) for t in texts], dtype=object)
 
 
-def signature(text: str | None, size: int = WIDE_SHINGLE) -> np.ndarray:
-    """A 256-bit SimHash of shingles as four longs, then a key for each band of least shingle hashes. No words: all zero."""
+def shingle_set(text: str | None, size: int = WIDE_SHINGLE) -> np.ndarray:
+    """The hashes of a text's shingles, each once, sorted; a text shorter than a shingle is one."""
     words = ascii_words(text)
     if not words:
-        return np.zeros(WORDS + BANDS, np.int64)
-    n = max(1, len(words) - size + 1)
-    ones, least = np.zeros(64 * WORDS, np.int64), np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    hashed = xxhash.xxh64_intdigest
-    for at in range(0, n, 4096):
-        part = words[at : min(at + 4096, n) + size - 1]
-        shingles = map(b" ".join, zip(*(part[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-        h = np.fromiter((hashed(s, 42) for s in shingles), np.uint64)
-        bits = _mixed(h[:, None] + _STEPS[None, :WORDS])
+        return np.zeros(0, np.uint64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64))
+
+
+def wide_print(h: np.ndarray) -> np.ndarray:
+    """The 256-bit SimHash of a shingle set as four longs."""
+    ones = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(h), 4096):
+        bits = _mixed(h[at : at + 4096, None] + _STEPS[None, :WORDS])
         ones += np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
-        np.minimum(least, ((h[:, None] ^ _STEPS[None, WORDS:]) * _ODD).min(0), out=least)
-    prints = np.packbits(ones * 2 > n, bitorder="little").view(np.int64)
+    return np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)
+
+
+def signature(text: str | None, size: int = WIDE_SHINGLE) -> np.ndarray:
+    """The print of a text's shingle set, a key for each band of least shingle hashes, and a hash that names the set. No words: all zero."""
+    h = shingle_set(text, size)
+    if not len(h):
+        return np.zeros(WORDS + BANDS + 1, np.int64)
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(h), 4096):
+        np.minimum(least, ((h[at : at + 4096, None] ^ _STEPS[None, WORDS:]) * _ODD).min(0), out=least)
     mixed = _mixed(least + _STEPS[WORDS:]).reshape(BANDS, ROWS)
-    return np.concatenate([prints, np.bitwise_xor.reduce(mixed, axis=1).view(np.int64)])
+    name = np.array([xxhash.xxh64_intdigest(h.tobytes())], np.uint64)
+    return np.concatenate([wide_print(h), np.bitwise_xor.reduce(mixed, axis=1).view(np.int64), name.view(np.int64)])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -260,20 +273,77 @@ def similar_links(keyed: DataFrame, limit: int = LIMIT, radius: int = WIDE_RADIU
         keyed, limit = dealt.where(~F.col("near")).select("key", "fp", *words), limit * 4
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two shingle sets have a Jaccard similarity of 0.8 or more, in integers."""
+    if 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * common >= 4 * (len(a) + len(b) - common)
+
+
+def verified_forest(sets: list[np.ndarray], radius: int = WIDE_RADIUS) -> list[tuple[int, int]]:
+    """Links (member, root), by position, that connect exactly the members which chains of alike ones connect; prints only rule out."""
+    planes = BitPlanes(np.stack([wide_print(h) for h in sets]).view(np.uint64))
+    left, found = planes.full, []
+    while left:
+        root = (left & -left).bit_length() - 1
+        left &= left - 1
+        stack = [root]
+        while stack and left:
+            at = stack.pop()
+            new = planes.near(planes.values[at], radius) & left
+            while new:
+                i = (new & -new).bit_length() - 1
+                new &= new - 1
+                if alike(sets[at], sets[i]):
+                    left ^= 1 << i
+                    stack.append(i)
+                    found.append((i, root))
+    return found
+
+
+def _verified(batches: Iterator[pd.DataFrame], radius: int = WIDE_RADIUS) -> Iterator[pd.DataFrame]:
+    """Rows (label, fp, text) sorted by label -> links (fp, root) between the members of a label."""
+
+    def links(nodes: list[int], sets: list[np.ndarray]) -> pd.DataFrame:
+        at = np.array(verified_forest(sets, radius), np.int64).reshape(-1, 2)
+        names = np.array(nodes, np.int64)
+        return pd.DataFrame({"fp": names[at[:, 0]], "root": names[at[:, 1]]})
+
+    label, nodes, sets = None, [], []
+    for batch in batches:
+        for to, fp, text in zip(batch["label"], batch["fp"], batch["text"], strict=True):
+            if nodes and to != label:
+                yield links(nodes, sets)
+                nodes, sets = [], []
+            label = to
+            nodes.append(fp)
+            sets.append(shingle_set(text))
+    if nodes:
+        yield links(nodes, sets)
+
+
 def similar(docs: DataFrame, limit: int = LIMIT, radius: int = WIDE_RADIUS) -> DataFrame:
-    """Every row's (doc_id, text_key, root): documents whose sets of five-word shingles are about 0.8 similar or more share a root.
+    """Every row's (doc_id, text_key, root): documents whose sets of five-word shingles are 0.8 similar or more share a root.
 
-    Equal 256-bit prints are one node. Nodes meet in buckets of equal bands of least hashes and are compared there, bit-sliced, by their prints: at a similarity
-    of 0.8 some 39 bits differ, at 0.5 some 69, so that 48 tell them apart. Chains of links are followed.
+    Equal sets are one node. Nodes meet in buckets of equal bands of least hashes and are compared there, bit-sliced, by their prints; what lies within the
+    radius is chained to groups of candidates. Inside a group only pairs of an exact similarity of 0.8 or more are linked, and chains of those are followed.
     """
     arrow_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.pandas_udf(_wide, "array<long>")(F.col("text")).alias("a"))
     words = [F.col("a")[i].alias(f"f{i}") for i in range(WORDS)]
-    rows = materialise(rows.withColumn("fp", F.xxhash64(*[F.col("a")[i] for i in range(WORDS)])), "signatures")
+    rows = materialise(rows.withColumn("fp", F.col("a")[WORDS + BANDS]), "signatures")
     nodes = rows.groupBy("fp").agg(F.min("a").alias("a"))
     keys = F.transform(F.slice("a", WORDS + 1, BANDS), lambda k, i: F.xxhash64(k, i))
     keyed = nodes.select("fp", *words, F.explode(keys).alias("key"))
-    labels = components(similar_links(keyed, limit, radius))
+    groups = components(similar_links(keyed, limit, radius))
+    # One row stands for each node of a group and brings its text.
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))
+    chosen = rows.join(groups, "fp").groupBy("fp", "label").agg(F.min(place).alias("at")).select("fp", "label", "at._d", "at._t")
+    texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("_k"))
+    texts = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_d"]) & (texts["_k"] == chosen["_t"])).select("label", "fp", "text")
+    check = functools.partial(_verified, radius=radius)
+    labels = components(texts.repartition("label").sortWithinPartitions("label", "fp").mapInPandas(check, "fp long, root long"))
     return rows.select("doc_id", "text_key", "fp").join(labels, "fp", "left").select("doc_id", "text_key", F.coalesce("label", "fp").alias("root"))
 
 

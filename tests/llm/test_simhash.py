@@ -145,3 +145,30 @@ def test_one_of_each_stays(docs, odd, none):
     assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == 0
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(odd).collect()}
     assert got[2] == got[3] == 1 and got[5] == 4
+
+
+def test_links_are_verified(spark, docs, texts):
+    """Groups are exactly the chains of pairs of 0.8 or more: pairs below it stay apart, a lone pair at it is found, repeats of a shingle count once."""
+    base = [f"w{i}" for i in range(300)]
+    rows = {}
+    for i in range(40):
+        mine = [f"{i}{w}" for w in base]
+        rows[3 * i], rows[3 * i + 1] = " ".join(mine), " ".join(mine[:262] + [f"y{i}n{j}" for j in range(38)])  # 258 of 334 shingles: 0.77
+        rows[3 * i + 2] = " ".join(mine[33:] + [f"z{i}n{j}" for j in range(32)])  # 263 of 328 shingles: 0.801
+    rows |= {1000 + i: " ".join(["same"] * 400 + [f"{c}{j}" for j in range(100)]) for i, c in enumerate("abcd")}
+    for frame, by in ((spark.createDataFrame(list(rows.items()), "doc_id long, text string"), rows), (docs, texts)):
+        parent = {i: i for i in by}
+
+        def find(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for (a, b), j in jaccard(by).items():
+            if j >= 0.8:
+                parent[find(a)] = find(b)
+        blank = [i for i in by if not (by[i] or "").split()]
+        for i in blank:
+            parent[find(i)] = find(blank[0])
+        root = {r["doc_id"]: r["root"] for r in simhash.similar(frame).collect()}
+        assert len({(root[i], find(i)) for i in by}) == len(set(root.values())) == len({find(i) for i in by})
