@@ -6,8 +6,8 @@ table (word, c) is as large as the vocabulary and stays distributed.
 The model predicts the class of a token from the classes of the two before it. The most frequent words (`vocabulary`) are classes of
 their own; every other word belongs to one of 64 classes by its last two bytes and has, inside its class, the add-one share of its count,
 with one share for the unseen. The score of a token given its context h is (C1 r1 + C2 r2) . t + b, normalised over all classes. Its weights are
-learnt in NumPy by NCE with noise from the class counts, on a hash-chosen sample of at most about `max_docs` documents of up to `max_chars` characters (stated
-bounds). Since there are few classes, batched matrix products give the normaliser of every context once; scoring gathers from these tables.
+learnt in NumPy by NCE with noise from the class counts, from every token of every training document: in each of three passes, each partition starts from the
+same weights and walks through its texts, and the weights are averaged by tokens (so they depend a little on how the table is partitioned). Since there are few classes, batched matrix products give the normaliser of every context once; scoring gathers from these tables.
 
 Counts of the `dictionary` most frequent words (a bound in rows) travel to the executors; the other words of a document meet the count
 table in one join by word, after being pre-aggregated by document.
@@ -26,14 +26,17 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, ascii_words, hash31, id_text, materialise, sample_below
+from .common import arrow_batches, materialise
 
 RARE = 64
 END = b""
 FLUSH = 200_000
+#: Training: tokens shuffled together, and tokens a partition should have at least.
+BUFFER, LEAST = 1 << 18, 1 << 19
 
 
 def rare_class(word: bytes) -> int:
@@ -84,49 +87,118 @@ class LogBilinear:
         return near, far, (z + shift_f + shift_n.T).astype(np.float32)
 
 
-def train_nce(texts: list[np.ndarray], weights: np.ndarray, dim: int = 32, epochs: int = 3, batch: int = 2048, noise: int = 256, rate: float = 0.05, seed: int = 1) -> LogBilinear:
-    """`texts`: class sequences, ends included; `weights`: class counts, the noise. A batch shares its noise, so that scores are matrix products."""
+def start_weights(weights: np.ndarray, dim: int = 32, seed: int = 1) -> list[np.ndarray]:
+    """Parameters before training, in the order of LogBilinear; `weights`: class counts."""
     rng, k = np.random.default_rng(seed), len(weights)
-    p = (weights + 1.0) / (weights + 1.0).sum()
-    logp = np.log(p).astype(np.float32)
-    params = [
+    return [
         rng.normal(0, 0.1, (k + 1, dim)).astype(np.float32),
         np.eye(dim, dtype=np.float32),
         0.5 * np.eye(dim, dtype=np.float32),
         rng.normal(0, 0.1, (k, dim)).astype(np.float32),
-        logp.copy(),
+        np.log((weights + 1.0) / (weights + 1.0).sum()).astype(np.float32),
     ]
-    if texts:
+
+
+def _sums(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of `values` by row number `at`."""
+    order = np.argsort(at, kind="stable")
+    found = at[order]
+    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    out = np.zeros((rows, *values.shape[1:]), np.float32)
+    out[found[first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
+class Nce:
+    """Noise-contrastive estimation from given parameters on; the noise are the class counts."""
+
+    def __init__(self, params: list[np.ndarray], weights: np.ndarray, seed, batch: int = 2048, noise: int = 256, rate: float = 0.05) -> None:
+        self.params = [x.copy() for x in params]
+        self.square = [np.full_like(x, 1e-6) for x in params]
+        self.rng, self.batch, self.noise, self.rate = np.random.default_rng(seed), batch, noise, rate
+        p = (weights + 1.0) / (weights + 1.0).sum()
+        self.sums, self.logp = np.cumsum(p)[:-1], np.log(p).astype(np.float32)
+
+    def learn(self, texts: list[np.ndarray]) -> None:
+        """One pass in random order over class sequences, ends included. A batch shares its noise, so that scores are matrix products."""
+        k, log_noise = len(self.logp), np.float32(np.log(self.noise))
         target = np.concatenate(texts)
         before = np.concatenate([np.concatenate(([k], t[:-1])) for t in texts])
         further = np.concatenate([np.concatenate(([k, k], t[:-2]))[: len(t)] for t in texts])
-        square = [np.full_like(x, 1e-6) for x in params]
-        log_noise = np.float32(np.log(noise))
-        for _ in range(epochs):
-            order = rng.permutation(len(target))
-            for at in range(0, len(order), batch):
-                i = order[at : at + batch]
-                w, h1, h2 = target[i], before[i], further[i]
-                r, c1, c2, t, b = params
-                q = r[h1] @ c1 + r[h2] @ c2
-                drawn = rng.choice(k, noise, p=p)
-                tw, tn = t[w], t[drawn]
-                # The odds that a token is data and not one of the noise: s - log(noise * p).
-                data = 1 / (1 + np.exp(-np.clip((q * tw).sum(1) + b[w] - log_noise - logp[w], -30, 30)))
-                fake = 1 / (1 + np.exp(-np.clip(q @ tn.T + b[drawn] - log_noise - logp[drawn], -30, 30)))
-                gd, gf = (1 - data).astype(np.float32) / len(i), -fake.astype(np.float32) / len(i)
-                gq = gd[:, None] * tw + gf @ tn
-                grads = [np.zeros_like(x) for x in params]
-                np.add.at(grads[0], h1, gq @ c1.T)
-                np.add.at(grads[0], h2, gq @ c2.T)
-                grads[1], grads[2] = r[h1].T @ gq, r[h2].T @ gq
-                np.add.at(grads[3], w, gd[:, None] * q)
-                np.add.at(grads[3], drawn, gf.T @ q)
-                np.add.at(grads[4], w, gd)
-                np.add.at(grads[4], drawn, gf.sum(0))
-                for x, g, s in zip(params, grads, square, strict=True):
-                    s += g * g
-                    x += rate * g / np.sqrt(s)
+        order = self.rng.permutation(len(target))
+        for at in range(0, len(order), self.batch):
+            i = order[at : at + self.batch]
+            w, h1, h2 = target[i], before[i], further[i]
+            r, c1, c2, t, b = self.params
+            r1, r2, tw = r[h1], r[h2], t[w]
+            q = r1 @ c1 + r2 @ c2
+            drawn = np.searchsorted(self.sums, self.rng.random(self.noise), side="right")
+            tn = t[drawn]
+            # The odds that a token is data and not one of the noise: s - log(noise * p).
+            data = 1 / (1 + np.exp(-np.clip((q * tw).sum(1) + b[w] - log_noise - self.logp[w], -30, 30)))
+            fake = 1 / (1 + np.exp(-np.clip(q @ tn.T + (b[drawn] - log_noise - self.logp[drawn]), -30, 30)))
+            gd, gf = (1 - data) / np.float32(len(i)), -fake / np.float32(len(i))
+            gq = gd[:, None] * tw + gf @ tn
+            both = np.concatenate((w, drawn))
+            grads = [
+                _sums(k + 1, h1, gq @ c1.T),
+                r1.T @ gq,
+                r2.T @ gq,
+                _sums(k, both, np.concatenate((gd[:, None] * q, gf.T @ q))),
+                _sums(k, both, np.concatenate((gd, gf.sum(0)))),
+            ]
+            for x, g, s in zip(self.params, grads, self.square, strict=True):
+                s += g * g
+                x += self.rate * g / np.sqrt(s)
+
+
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (n, weights) -> their mean by n, and the sum of n."""
+    total, mean = 0, np.zeros(0)
+    for batch in batches:
+        for n, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x = np.frombuffer(w, np.float32).astype(np.float64)
+            total += n
+            mean = mean + (x - mean) * (n / total) if len(mean) else x
+    if total:
+        yield pa.record_batch([pa.array([total], pa.int64()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], names=["n", "weights"])
+
+
+def train_nce(texts: DataFrame, own: list[bytes], weights: np.ndarray, tokens: int, epochs: int = 3, seed: int = 1) -> LogBilinear:
+    """`texts` (text: binary), all of which teach; `own`: words with a class of their own; `weights`: class counts; `tokens` in all."""
+    params = start_weights(weights, seed=seed)
+    context = texts.sparkSession.sparkContext
+    parts = texts.coalesce(max(1, tokens // LEAST))
+    for epoch in range(epochs):
+        sent = context.broadcast((params, weights, own))
+
+        def learn(batches: Iterator[pa.RecordBatch], sent=sent, epoch=epoch) -> Iterator[pa.RecordBatch]:
+            task = TaskContext.get()
+            params, weights, own = sent.value
+            model = Nce(params, weights, (seed, epoch, task.partitionId() if task else 0))
+            index = {w: i + 1 + RARE for i, w in enumerate(own)}.get
+            seen, held, waiting = 0, 0, []
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    waiting.append(np.array([*(index(w) or rare_class(w) for w in (text.lower().split() if text else ())), 0], np.int32))
+                    held += len(waiting[-1])
+                    if held >= BUFFER:
+                        model.learn(waiting)
+                        seen, held, waiting = seen + held, 0, []
+            if waiting:
+                model.learn(waiting)
+                seen += held
+            if seen:
+                flat = np.concatenate([x.ravel() for x in model.params]).tobytes()
+                yield pa.record_batch([pa.array([seen], pa.int64()), pa.array([flat], pa.binary())], names=["n", "weights"])
+
+        schema = "n long, weights binary"
+        found = parts.mapInArrow(learn, schema).repartition(8).mapInArrow(_mean, schema).collect()
+        sent.unpersist()
+        if found:
+            flat = sum(np.frombuffer(r["weights"], np.float32) * (r["n"] / sum(x["n"] for x in found)) for r in found).astype(np.float32)
+            cuts = np.cumsum([x.size for x in params])[:-1]
+            params = [x.reshape(p.shape) for x, p in zip(np.split(flat, cuts), params, strict=True)]
     return LogBilinear(*params)
 
 
@@ -183,7 +255,7 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(step >= cut) if cut is not None else counts.limit(0)
 
 
-def train(docs: DataFrame, counts: DataFrame, vocabulary: int = 900, dictionary: int = 200_000, max_docs: int = 2000, max_chars: int = 100_000, seed: int = 1) -> tuple[Scorer, int, np.ndarray]:
+def train(docs: DataFrame, counts: DataFrame, vocabulary: int = 900, dictionary: int = 200_000, seed: int = 1) -> tuple[Scorer, int, np.ndarray]:
     """A scorer from training documents and their count table; also the training tokens and log10 of the classes' denominators."""
     last = F.crc32(F.substring("word", -2, 2))
     by_class = counts.where(F.length("word") > 0).groupBy((1 + last % RARE).cast("int").alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
@@ -203,12 +275,8 @@ def train(docs: DataFrame, counts: DataFrame, vocabulary: int = 900, dictionary:
     class_log = np.log10(n + v + 1)
     n[0] = ends
 
-    rows = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    below = sample_below(ends, max_docs)
-    picked = rows.where(hash31(F.lit(seed), id_text(F.col("doc_id"))) < below).select("text").collect()
-    index = {w: i + 1 + RARE for i, w in enumerate(words[:own])}
-    sequences = [np.array([*(index.get(w) or rare_class(w) for w in ascii_words(t)), 0]) for t in sorted(r["text"] for r in picked)]
-    near, far, z = train_nce(sequences, np.concatenate([n, c[:own]]), seed=seed).tables()
+    texts = docs.select(F.col("text").cast("binary").alias("text"))
+    near, far, z = train_nce(texts, words[:own], np.concatenate([n, c[:own]]), int(total), seed=seed).tables()
     base_log = float(np.log10(total + distinct + 1))
     return Scorer(words, c, own, base_log, class_log, near, far, z, ends > 0, float(np.log10(ends + 1)) - base_log), total, class_log
 
@@ -216,14 +284,14 @@ def train(docs: DataFrame, counts: DataFrame, vocabulary: int = 900, dictionary:
 _PARTS = "doc_id {id}, held_out boolean, n_tokens long, known long, base double, model double, rare array<struct<w: binary, k: int, n: int>>"
 
 
-def score(docs: DataFrame, held_out, vocabulary: int = 900, dictionary: int = 200_000, max_docs: int = 2000, seed: int = 1) -> DataFrame:
+def score(docs: DataFrame, held_out, vocabulary: int = 900, dictionary: int = 200_000, seed: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; learnt from rows where the column `held_out` is false."""
     spark = docs.sparkSession
     arrow_batches(spark)
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     training = rows.where(~F.col("held_out"))
     counts = materialise(word_counts(training), "counts")
-    scorer, total, class_log = train(training, counts, vocabulary, dictionary, max_docs, seed=seed)
+    scorer, total, class_log = train(training, counts, vocabulary, dictionary, seed=seed)
     sent = spark.sparkContext.broadcast(scorer)
     made: list[Scorer] = []
 

@@ -73,3 +73,13 @@ def test_empty_tables(none, odd):
 
 def test_extra_columns(docs):
     assert lm_score.score(docs.withColumn("score", F.lit("x")).withColumn("word", F.lit(1)).limit(20), held()).count() == 20
+
+
+def test_every_document_teaches(spark):
+    """What stands in one very long text only is learnt."""
+    cycle = [f"p{i}" for i in range(10)]
+    rows = [(i, " ".join(f"q{(i * 7 + j * j) % 50}" for j in range(20)), False) for i in range(300)]
+    rows += [(1000, " ".join(cycle * 20_000), False), (1001, " ".join(cycle * 20), True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    got = lm_score.score(docs, F.col("held")).where("held_out").first()
+    assert got["score"] > 0.5 * got["base_score"]
