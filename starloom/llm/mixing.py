@@ -6,6 +6,8 @@
    target / (2 seats + 1), then, inside a source, to its shards by the quotients of the shards' sizes.
    Only the last seats are in dispute (a Webster seat count differs from the proportional one by less than the
    number of parties), so quotients are made for those alone, never for every seat.
+   A source with a target under `FEW` blocks has smaller blocks of its own, and one with few blocks has fewer shards, so that each holds at
+   least `FULL`. Words that a shard's cap refuses go to the shards of its source that have room.
 3. Selection: a shard's documents stand in a seeded order and form one stream of words, cut into near-equal blocks.
    A quota of q out of n blocks takes every block floor(q/n) times and the rest at seeded even spacing; F(x), the words
    taken out of the first x, has a closed form, so no row per block is made. A document gets F(end) - F(start).
@@ -19,9 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, id_text, without
+from .common import WORD, id_text, materialise, without
 
 OUT = ("size", "source_size", "target", "taken")
+FEW, FULL = 100, 8
 
 
 def word_count(text: Column) -> Column:
@@ -82,28 +85,43 @@ def mix(docs: DataFrame, seed: int = 11, max_epochs: int = 3, n_weights: int = 3
     """All rows of `docs` (doc_id, text, source, ...) with size, source_size, target and taken.
 
     Blocks have `block_tokens` words, or fewer where an average source would have fewer than `blocks_per_source`.
-    Shards number sqrt(words / shard_root), so that both they and the documents in one stay few at any size.
+    Shards number sqrt(words / shard_root), so that both they and the documents in one stay few at any size; fewer where a source is small.
     """
     base = without(docs, *OUT).withColumn("size", word_count(F.col("text"))).withColumn("_k", source_key(F.col("source")))
     base = base.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), id_text(F.col("doc_id"))).cast("binary")))
-    found = base.agg(F.sum("size").alias("t"), F.count_distinct("_k").alias("n")).first()
+    sizes = materialise(base.groupBy("_k").agg(F.sum("size").alias("source_size")), "sources")  # one row a source
+    found = sizes.agg(F.sum("source_size").alias("t"), F.count(F.lit(1)).alias("n")).first()
     total, sources = int(found["t"] or 0), max(int(found["n"]), 1)
     block = max(1, min(block_tokens, total // (sources * blocks_per_source)))
     shards = max(1, int((total / shard_root) ** 0.5))
-    base = base.withColumn("_s", F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") % shards)
+    by_source = targets(sizes, max_epochs, n_weights).withColumn("_small", F.col("target") < FEW * block)
+    own = F.greatest(F.lit(1), F.floor(F.col("target") / blocks_per_source)).cast("bigint")
+    by_source = by_source.withColumn("_block", F.when(F.col("_small"), F.least(own, F.lit(block))).otherwise(F.lit(block)))
+    # What the small sources take leaves so many blocks for the others.
+    taken_by_small = F.coalesce(F.sum(F.when(F.col("_small"), F.col("target"))).over(Window.partitionBy()), F.lit(0.0))
+    by_source = by_source.withColumn("_seats", F.floor((F.lit(float(total)) - taken_by_small) / block).cast("bigint")).withColumn("_all", F.lit(0))
+    by_source = by_source.withColumn("_claim", F.when(F.col("_small"), F.lit(0.0)).otherwise(F.col("target")))
+    seated = apportion(by_source.withColumnRenamed("_claim", "_wish"), "_wish", "_seats", ["_all"], ["_k"], "_blocks")
+    seated = seated.withColumn("_blocks", F.when(F.col("_small"), F.round(F.col("target") / F.col("_block")).cast("bigint")).otherwise(F.col("_blocks")))
+    full = F.floor(F.col("source_size") / (F.col("_block") * FULL)).cast("bigint")
+    seated = seated.withColumn("_shards", F.least(F.lit(shards), F.greatest(F.lit(1), full)).cast("bigint"))
+    seated = materialise(seated.select("_k", "source_size", "target", "_block", "_blocks", "_shards"), "sources")
+    base = base.join(seated.select("_k", "_shards"), "_k").withColumn("_s", F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") % F.col("_shards")).drop("_shards")
 
     parts = base.groupBy("_k", "_s").agg(F.sum("size").alias("_shard_size"))
-    by_source = targets(parts.groupBy("_k").agg(F.sum("_shard_size").alias("source_size")), max_epochs, n_weights)
-    seated = apportion(by_source.withColumn("_seats", F.lit(total // block)).withColumn("_all", F.lit(0)), "target", "_seats", ["_all"], ["_k"], "_blocks").drop("_all", "_seats")
     quotas = apportion(parts.join(seated, "_k"), "_shard_size", "_blocks", ["_k"], ["_k", "_s"], "_quota")
-    # Words of the quota, at most max_epochs passes; then as near-equal blocks of this shard, numbered 0 .. _n - 1.
-    words = F.least(F.col("_quota") * block, F.col("_shard_size") * max_epochs)
-    quotas = quotas.withColumn("_n", F.greatest(F.lit(1), F.round(F.col("_shard_size") / float(block))).cast("bigint"))
+    # Words of the quota, at most max_epochs passes; what is over goes to the shards with room. Then near-equal blocks of this shard, numbered 0 .. _n - 1.
+    whole, cap = Window.partitionBy("_k"), F.col("_shard_size") * max_epochs
+    quotas = quotas.withColumn("_words", F.least(F.col("_quota") * F.col("_block"), cap)).withColumn("_room", cap - F.col("_words"))
+    over, room = F.sum(F.col("_quota") * F.col("_block") - F.col("_words")).over(whole), F.sum("_room").over(whole)
+    words = F.col("_words") + F.when(over > 0, F.floor(F.col("_room") * F.least(F.lit(1.0), over / room))).otherwise(F.lit(0))
+    quotas = quotas.withColumn("_words", F.coalesce(words, F.col("_words")))
+    quotas = quotas.withColumn("_n", F.greatest(F.lit(1), F.round(F.col("_shard_size") / F.col("_block").cast("double"))).cast("bigint"))
     quotas = quotas.select(
         "_k",
         "_s",
         "_n",
-        F.when(F.col("_shard_size") > 0, F.round(words.cast("double") * F.col("_n") / F.col("_shard_size"))).otherwise(F.lit(0)).cast("bigint").alias("_q"),
+        F.when(F.col("_shard_size") > 0, F.round(F.col("_words").cast("double") * F.col("_n") / F.col("_shard_size"))).otherwise(F.lit(0)).cast("bigint").alias("_q"),
         F.col("_shard_size"),
         F.col("source_size"),
         F.col("target"),
@@ -127,7 +145,7 @@ def taken_before(x: str) -> str:
     return f"(_shard_size * {before} + ({x} * _n - {j} * _shard_size) * ({after} - {before})) div _n"
 
 
-#: mix() with its default parameters, with every quotient of every seat written out.
+#: mix() with its default parameters, with every quotient of every seat written out; for tables in which no source is small and no shard is full.
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,

@@ -1,3 +1,4 @@
+import functools
 import heapq
 
 import duckdb
@@ -84,3 +85,14 @@ def test_highest_quotients(spark, claims, seats):
 def test_no_python_in_the_plan(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_small_sources_beside_a_huge_one(spark):
+    """Sources of a few hundred or thousand short documents get their targets (three passes) beside one with many blocks and shards."""
+    sizes = {"a": (10_000, 2000), "b": (1000, 100), "c": (200, 100), "d": (3, 40), "e": (2000, 100)}
+    parts = [spark.range(n).select("id", F.expr(f"repeat('w ', {w})").alias("text"), F.lit(s).alias("source")) for s, (n, w) in sizes.items()]
+    docs = functools.reduce(lambda x, y: x.unionByName(y), parts)
+    docs = docs.select(F.concat("source", F.col("id").cast("string")).alias("doc_id"), "text", "source")
+    got = {r["source"]: r for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect()}
+    for s, r in got.items():
+        assert abs(r["taken"] - r["target"]) <= 0.01 * r["target"] + 1 and r["over"] <= 0, (s, r)
