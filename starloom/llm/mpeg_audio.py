@@ -5,7 +5,7 @@ frame is silent (its main data is empty) and carries 576 payload bytes, one a sa
 information; header and side information are under the frame's CRC. An ID3v2 tag and an Info frame with the frame count, the
 byte count and a seek table come first. The payload is padded with bytes 255 to a positive multiple of 576.
 
-`parse` reads any MPEG audio stream: it skips ID3v1, ID3v2 and APE tags, finds frame headers, and after junk resynchronises
+`parse` reads any MPEG audio stream: it skips ID3v2 tags and, beyond the last complete frame, ID3v1 and APE tags, finds frame headers, and after junk resynchronises
 at the next header which another of the same kind follows (or the stream's end); it reads Xing, Info and VBRI tables, verifies the checksums of
 Layer III frames, and gives the exact duration (samples and rate, no float) and every frame's byte offset.
 
@@ -122,21 +122,22 @@ class Stream:
         return None
 
 
-def _bounds(data: bytes, out: Stream) -> tuple[int, int]:
-    """Where the frames start and end, without tags."""
-    start, end = 0, len(data)
-    while data[start : start + 3] == b"ID3" and start + 10 <= end:
-        size = data[start + 6] << 21 | data[start + 7] << 14 | data[start + 8] << 7 | data[start + 9]
+def _bounds(data: bytes, out: Stream) -> tuple[int, list[tuple[int, list[str]]]]:
+    """Where the frames start, and where they may end, with the tags from there on: the nearest end first, the data's end last."""
+    start, size = 0, len(data)
+    while data[start : start + 3] == b"ID3" and start + 10 <= size:
+        n = data[start + 6] << 21 | data[start + 7] << 14 | data[start + 8] << 7 | data[start + 9]
         out.tags.append(f"id3v2.{data[start + 3]}")
-        start += 10 + size + (10 if data[start + 5] & 16 else 0)
-    if end - start >= 128 and data[end - 128 : end - 125] == b"TAG":
-        out.tags.append("id3v1")
-        end -= 128
-    if end - start >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
-        size, flags = struct.unpack("<I4xI", data[end - 20 : end - 8])
-        out.tags.append("ape")
-        end -= min(end - start, size + (32 if flags >> 31 else 0))
-    return min(start, end), end
+        start += 10 + n + (10 if data[start + 5] & 16 else 0)
+    start = min(start, size)
+    ends: list[tuple[int, list[str]]] = [(size, [])]
+    if size - start >= 128 and data[size - 128 : size - 125] == b"TAG":
+        ends.append((size - 128, ["id3v1"]))
+    for end, tags in list(ends):
+        if end - start >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
+            n, flags = struct.unpack("<I4xI", data[end - 20 : end - 8])
+            ends.append((end - min(end - start, n + (32 if flags >> 31 else 0)), [*tags, "ape"]))
+    return start, sorted(ends, key=lambda x: (x[0], -len(x[1])))
 
 
 def _table(data: bytes, at: int, h: Header, out: Stream) -> bool:
@@ -161,10 +162,15 @@ def _table(data: bytes, at: int, h: Header, out: Stream) -> bool:
 
 def parse(data: bytes) -> Stream:
     out = Stream()
-    at, end = _bounds(data, out)
+    at, ends = _bounds(data, out)
+    end = ends[0][0]
     synced, first = False, True
     while at + 4 <= end:
         h = header(int.from_bytes(data[at : at + 4]))
+        # What looks like a tag inside a complete frame is a part of it.
+        if h and at + h.size > end and any(at + h.size == e or synced and at + h.size < e for e, _ in ends):
+            ends = [x for x in ends if x[0] >= at + h.size]
+            end = ends[0][0]
         if h and at + h.size > end:
             h = None  # cut off
         if h and not synced:
@@ -196,6 +202,7 @@ def parse(data: bytes) -> Stream:
         out.samples += h.samples
         at += h.size
     out.junk_bytes += end - at if at < end else 0
+    out.tags += ends[0][1]
     return out
 
 

@@ -80,3 +80,19 @@ def test_any_bytes_parse(spark):
     df = spark.createDataFrame([(None,), (b"",), (b"\xff" * 5000,), (bytes(range(256)) * 20,), (m.encode(b"q"),)], "media binary")
     got = df.select(m.inspect_media(F.col("media")).alias("x")).select("x.*").collect()
     assert [r["frames"] for r in got] == [0, 0, 0, 0, 1] and [r["seconds_num"] for r in got[:2]] == [0, 0] and got[4]["offsets"] == [m.parse(m.encode(b"q")).offsets[0]]
+
+
+def test_tag_marks_in_the_payload(spark):
+    """'TAG' 128 bytes before the end of the stored stream is text, in one frame or many, with and without real tags after it, and beside damage."""
+    ape = b"APETAGEX" + (2000).to_bytes(4, "little") + (32).to_bytes(4, "little") + bytes(16)
+    for n in (0, 1, 5):
+        payload = b"a" * (576 * n + 505) + b"TAG" + b"b" * 40
+        data = m.encode(payload)
+        assert data[-128:-125] == b"TAG"
+        for tail, tags in ((b"", []), (b"TAG" + bytes(125), ["id3v1"]), (ape, ["ape"]), (ape + b"TAG" + bytes(125), ["id3v1", "ape"])):
+            s = m.parse(data + tail)
+            assert m.payload_of(data + tail, s) == m.pad(payload) and s.tags == ["id3v2.4", *tags] and not s.junk_bytes and not s.resyncs
+    cut = data[:3000] + data[3050:]
+    assert len(m.parse(cut).offsets) == len(m.parse(data).offsets) - 1
+    row = m.digests(spark.createDataFrame([(1, "a" * 505 + "TAG")], "doc_id long, text string")).first()
+    assert (row["n_bytes"], row["payload_bytes"]) == (508, 576)
