@@ -1,4 +1,5 @@
 import os
+import re
 
 import duckdb
 from hypothesis import given, settings
@@ -10,23 +11,29 @@ from starloom.llm import line_dedup
 from .conftest import SCHEMA, SF
 
 
+def units(text):
+    return re.split(line_dedup.CUT, text)
+
+
 def plain(rows):
     """Distinct (doc_id, text) -> shortened text."""
     first, covered = {}, {}
     order = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None})
     windows = []
     for known, i, t in order:
-        keys = [(p, line.strip(" \t\r")) for p, line in enumerate(t.split("\n"))]
+        u = units(t)
+        keys = [(p, x.strip(" \t\r\n"), (p == 0 or u[p - 1].endswith("\n")) and (p == len(u) - 1 or x.endswith("\n"))) for p, x in enumerate(u)]
         keys = [x for x in keys if x[1]]
         for a in range(len(keys) - 2):
             part = keys[a : a + 3]
-            windows.append(((known, i, t), part[0][0], tuple(k for _, k in part), [p for p, _ in part]))
+            if all(x[2] for x in part) or sum(len(x[1]) for x in part) >= 80:
+                windows.append(((known, i, t), part[0][0], tuple(k for _, k, _ in part), range(part[0][0], part[2][0] + 1)))
     for doc, p, k, _ in windows:
         first.setdefault(k, (doc, p))
     for doc, p, k, at in windows:
         if first[k] != (doc, p):
             covered.setdefault(doc, set()).update(at)
-    return {(i if known else None, t): "\n".join(x for p, x in enumerate(t.split("\n")) if p not in covered.get((known, i, t), ())) for known, i, t in order}
+    return {(i if known else None, t): "".join(x for p, x in enumerate(units(t)) if p not in covered.get((known, i, t), ())) for known, i, t in order}
 
 
 def run(spark, rows):
@@ -51,7 +58,7 @@ def test_small_cases(spark):
     want = plain(rows)
     got = run(spark, rows)
     assert got == sorted(((i, None if t is None else want[i, t]) for i, t in rows), key=str)
-    assert (2, "x\ny") in got and (9, "") in got and (7, "q") in got and (3, "\n\t\nz") in got and (8, "") in got
+    assert (2, "x\ny") in got and (9, "") in got and (7, "q\n") in got and (3, "z") in got and (8, "") in got
 
 
 @settings(max_examples=8, deadline=None)
@@ -78,3 +85,20 @@ def test_odd_rows(odd, none):
     assert out.count() == odd.count() and out.where("n_removed > 0").count() == 0
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out.collect()) == sorted((r["doc_id"] or 0, r["text"] or "") for r in odd.collect())
     assert line_dedup.dedup(none).count() == 0
+
+
+def test_passages_inside_long_lines(spark):
+    """A passage in the middle of texts without line feeds goes from all but the first; short phrases that recur stay."""
+    own = lambda i: " ".join(f"w{i}x{j}" + (",", "", ".", "")[j % 4] for j in range(60))
+    passage = ". ".join(" ".join(f"p{k}n{j}" for j in range(9)) for k in range(6)) + ". "
+    rows = [(i, f"{own(i)} end. {passage}{own(i + 100)}") for i in range(5)] + [(9, "And so, on. Yes. And so, on. Yes. And so, on.")]
+    got = dict(run(spark, rows))
+    assert got == {i: plain(rows)[i, t] for i, t in rows} and got[9] == rows[-1][1]
+    assert "p1n0" in got[0] and not any("p3n0" in got[i] or "p5n3" in got[i] for i in range(1, 5)) and all(own(i) in got[i] for i in range(5))
+
+
+def test_long_text_is_linear(spark):
+    """200,000 units in one document, all of them repeated."""
+    text = "".join(f"line number {i} of many lines that a text has, and then more of them.\n" for i in range(100_000))
+    got = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    assert {r["doc_id"]: len(r["text"]) for r in line_dedup.dedup(got).collect()} == {1: len(text), 2: 0}
