@@ -16,8 +16,9 @@ For the similarity of five-word shingles, 0.8 or more, 64 bits are too few: ther
 from bands of least shingle hashes. These prints only propose: inside the groups that they chain together, each link is verified by the exact Jaccard
 similarity of the two shingle sets. keep_one() goes by the verified groups.
 
-Null text, empty text and text without words have fingerprint zero, which links like any other. Rows with equal doc_id and text
-are one document; a component's id is its smallest doc_id that is not null.
+Null text, empty text and text without words have fingerprint zero, which links like any other; in similar() they are one node. Rows with equal doc_id and text
+are one document; a component's id is its smallest doc_id that is not null. Ties and repeated rows: all rows of a document get its result, and keep_one() returns
+one of them. Empty tables give empty results. Other columns are never read, whatever their names; keep_one() returns them as they are.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ CHUNK = 1 << 16
 #: shares one with 99.97 %).
 WORDS, WIDE_SHINGLE, WIDE_RADIUS = 4, 5, 72
 BANDS, ROWS = 20, 5
+#: Members of a bucket that are compared in one task, bits around a pivot within which members of a larger one go, and bytes of text of a group in one task.
+WIDE_LIMIT, TIGHT, GROUP_BYTES, PER_TEXT = 1 << 15, 24, 64 << 20, 64
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -250,27 +253,41 @@ _STEPS = _mixed(np.arange(1, WORDS + BANDS * ROWS + 1, dtype=np.uint64) * np.uin
 _ODD = _mixed(_STEPS[WORDS:]) | np.uint64(1)
 
 
-def similar_links(keyed: DataFrame, limit: int = LIMIT, radius: int = WIDE_RADIUS) -> DataFrame:
-    """(key, fp: node, f0 .. f3) -> links (fp, root) between nodes that share a key and differ in at most `radius` bits.
+def _dealt(rows: DataFrame, buckets: DataFrame, member: str) -> DataFrame:
+    """`rows` (key, ...) of the `buckets` (key, m), dealt so that each two members of a bucket still share a key: a bucket is cut into m chunks by a hash of
+    `member`, and every two chunks form a bucket of their own."""
+    chunk = F.pmod(F.xxhash64(F.lit("chunk"), member), F.col("m"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1), lambda j: F.xxhash64("key", F.least(chunk, j), F.greatest(chunk, j)))
+    keys = F.when(F.col("m") == 1, F.array("key")).otherwise(pairs)
+    return rows.join(buckets.select("key", F.col("m").cast("bigint").alias("m")), "key").withColumn("key", F.explode(keys)).drop("m")
 
-    A bucket of up to `limit` members is compared whole; buckets with the same members are compared once. Of a larger one, the members near its
-    smallest are linked to that one where they lie, and the others form a bucket again, with four times the limit.
+
+def similar_links(keyed: DataFrame, limit: int = WIDE_LIMIT, radius: int = WIDE_RADIUS, tight: int = TIGHT) -> DataFrame:
+    """(key, fp: node, f0 .. f3) -> links (fp, root) whose chains join all nodes that share a key and differ in at most `radius` bits.
+
+    A bucket of up to `limit` members is compared whole; buckets with the same members are compared once. A larger one first gives up those within `tight` bits
+    of its smallest member, after all within `radius` + `tight` bits of that were linked to it: whatever is near one that goes is among them, so nothing is lost.
+    What still is larger is cut into chunks, and every two chunks meet.
     """
     words = [f"f{i}" for i in range(WORDS)]
     whole, found = functools.partial(_bucket_links, words=tuple(words), radius=radius), None
-    while True:
-        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("fp").alias("x"), F.min(F.struct("fp", *words)).alias("pivot")).where("n > 1")
-        sizes = materialise(sizes, "buckets")
-        once = sizes.where(F.col("n") <= limit).groupBy("n", "x").agg(F.min("key").alias("key")).select("key")
-        some = keyed.join(once, "key").repartition("key").sortWithinPartitions("key").mapInPandas(whole, "fp long, root long")
+    for last in (False, False, True):
+        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("fp").alias("x"), F.min("fp").alias("fp")).where("n > 1")
+        once = materialise(sizes.groupBy("n", "x").agg(F.min("key").alias("key"), F.min_by("fp", "key").alias("fp")), "buckets")
+        chunks = F.when(F.col("n") > limit, F.ceil(F.col("n") * 2 / limit)).otherwise(1)
+        some = _dealt(keyed, once.where(F.lit(last) | (F.col("n") <= limit)).withColumn("m", chunks), "fp")
+        some = some.repartition("key").sortWithinPartitions("key").mapInPandas(whole, "fp long, root long")
         found = some if found is None else found.unionByName(some)
-        hot = sizes.where(F.col("n") > limit).select("key", "pivot")
-        if hot.isEmpty():
+        hot = once.where(F.col("n") > limit).select("key", "fp")
+        if last or hot.isEmpty():
             return found
+        pivots = keyed.join(hot, ["key", "fp"]).select("key", F.struct("fp", *words).alias("pivot"))
         apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"pivot.{w}"))) for w in words), F.lit(0))
-        dealt = materialise(keyed.join(hot, "key").withColumn("near", apart <= radius), "hot")
-        found = found.unionByName(dealt.where("near").where(F.col("fp") != F.col("pivot.fp")).select("fp", F.col("pivot.fp").alias("root")))
-        keyed, limit = dealt.where(~F.col("near")).select("key", "fp", *words), limit * 4
+        dealt = materialise(keyed.join(pivots, "key").withColumn("apart", apart), "hot")
+        around = dealt.where(F.col("apart") <= radius + tight).where(F.col("fp") != F.col("pivot.fp"))
+        found = found.unionByName(around.select("fp", F.col("pivot.fp").alias("root")))
+        keyed = dealt.where(F.col("apart") > tight).select("key", "fp", *words)
+    raise AssertionError
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -281,14 +298,19 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return 5 * common >= 4 * (len(a) + len(b) - common)
 
 
-def verified_forest(sets: list[np.ndarray], radius: int = WIDE_RADIUS) -> list[tuple[int, int]]:
-    """Links (member, root), by position, that connect exactly the members which chains of alike ones connect; prints only rule out."""
+def verified_forest(sets: list[np.ndarray], radius: int = WIDE_RADIUS, known: int = 0) -> list[tuple[int, int]]:
+    """Links (member, root), by position, that connect exactly the members which chains of alike ones connect; prints only rule out.
+
+    The first `known` members are connected already, so that they meet the others only.
+    """
     planes = BitPlanes(np.stack([wide_print(h) for h in sets]).view(np.uint64))
-    left, found = planes.full, []
-    while left:
-        root = (left & -left).bit_length() - 1
-        left &= left - 1
-        stack = [root]
+    left, found = planes.full >> known << known, []
+    waiting = list(range(known))
+    while left or waiting:
+        root = 0 if waiting else (left & -left).bit_length() - 1
+        if not waiting:
+            left &= left - 1
+        stack, waiting = waiting or [root], []
         while stack and left:
             at = stack.pop()
             new = planes.near(planes.values[at], radius) & left
@@ -303,34 +325,80 @@ def verified_forest(sets: list[np.ndarray], radius: int = WIDE_RADIUS) -> list[t
 
 
 def _verified(batches: Iterator[pd.DataFrame], radius: int = WIDE_RADIUS) -> Iterator[pd.DataFrame]:
-    """Rows (label, fp, text) sorted by label -> links (fp, root) between the members of a label."""
+    """Rows (key, open, fp, text) sorted by key and open -> links (fp, root) between the members of a key; those that are not open are connected already."""
 
-    def links(nodes: list[int], sets: list[np.ndarray]) -> pd.DataFrame:
-        at = np.array(verified_forest(sets, radius), np.int64).reshape(-1, 2)
+    def links(nodes: list[int], sets: list[np.ndarray], known: int) -> pd.DataFrame:
+        at = np.array(verified_forest(sets, radius, known), np.int64).reshape(-1, 2)
         names = np.array(nodes, np.int64)
         return pd.DataFrame({"fp": names[at[:, 0]], "root": names[at[:, 1]]})
 
-    label, nodes, sets = None, [], []
+    key, nodes, sets, known = None, [], [], 0
     for batch in batches:
-        for to, fp, text in zip(batch["label"], batch["fp"], batch["text"], strict=True):
-            if nodes and to != label:
-                yield links(nodes, sets)
-                nodes, sets = [], []
-            label = to
+        for to, is_open, fp, text in zip(batch["key"], batch["open"], batch["fp"], batch["text"], strict=True):
+            if nodes and to != key:
+                yield links(nodes, sets, known)
+                nodes, sets, known = [], [], 0
+            key = to
+            known += not is_open
             nodes.append(fp)
             sets.append(shingle_set(text))
     if nodes:
-        yield links(nodes, sets)
+        yield links(nodes, sets, known)
 
 
-def similar(docs: DataFrame, limit: int = LIMIT, radius: int = WIDE_RADIUS) -> DataFrame:
+def _like_pivot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (fp, text, pivot: text) -> (fp, like): whether a text is alike to its group's pivot."""
+    last, pivot = None, None
+    for batch in batches:
+        like = []
+        for text, other in zip(batch["text"], batch["pivot"], strict=True):
+            if pivot is None or other != last:
+                last, pivot = other, shingle_set(other)
+            like.append(alike(shingle_set(text), pivot))
+        yield pd.DataFrame({"label": batch["label"], "fp": batch["fp"], "root": batch["root"], "open": [not x for x in like]})
+
+
+def verified_links(texts: DataFrame, sizes: DataFrame, group_bytes: int = GROUP_BYTES, radius: int = WIDE_RADIUS) -> DataFrame:
+    """(label: group, fp, text) and each group's (label, bytes, root: smallest fp) -> links (fp, root) whose chains join all members of a group that chains
+    of alike pairs join.
+
+    A group of up to `group_bytes` of text is compared in one task. In a larger one, the members alike to its smallest are linked to that; the others, open
+    still, are cut into chunks that meet each other and chunks of the linked ones, so that a task never holds more than about twice those bytes.
+    """
+    check, links = functools.partial(_verified, radius=radius), "fp long, root long"
+    large = materialise(sizes.where(F.col("bytes") > group_bytes), "large")
+    some = not large.isEmpty()
+    small = texts.join(large, "label", "left_anti") if some else texts
+    small = small.select(F.col("label").alias("key"), F.lit(True).alias("open"), "fp", "text")
+    found = small.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(check, links)
+    if not some:
+        return found
+    texts = materialise(texts.join(large.select("label"), "label"), "groups")
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + PER_TEXT)
+    pivots = texts.join(large.select("label", F.col("root").alias("fp")), ["label", "fp"]).select("label", F.col("fp").alias("root"), F.col("text").alias("pivot"))
+    state = materialise(texts.join(pivots, "label").mapInPandas(_like_pivot, "label long, fp long, root long, open boolean"), "state")
+    found = found.unionByName(state.where(~F.col("open") & (F.col("fp") != F.col("root"))).select("fp", "root"))
+    rows = texts.join(state.select("label", "fp", "open"), ["label", "fp"])
+    counts = rows.groupBy("label", "open").agg(F.ceil(size / group_bytes).alias("m"))
+    pairs = counts.groupBy("label").agg(F.coalesce(F.max(F.when(F.col("open"), F.col("m"))), F.lit(0)).alias("mo"), F.coalesce(F.max(F.when(~F.col("open"), F.col("m"))), F.lit(0)).alias("ml"))
+    chunk = lambda m: F.pmod(F.xxhash64(F.lit("chunk"), "fp"), F.greatest(F.col(m), F.lit(1)))
+    to = lambda m: F.sequence(F.lit(0).cast("bigint"), F.col(m) - 1)
+    with_open = F.transform(to("mo"), lambda j: F.xxhash64(F.lit("open"), "label", F.least(chunk("mo"), j), F.greatest(chunk("mo"), j)))
+    open_keys = F.concat(with_open, F.when(F.col("ml") > 0, F.transform(to("ml"), lambda j: F.xxhash64(F.lit("linked"), "label", chunk("mo"), j))).otherwise(F.array()))
+    linked_keys = F.transform(to("mo"), lambda j: F.xxhash64(F.lit("linked"), "label", j, chunk("ml")))
+    dealt = rows.join(pairs.where("mo > 0"), "label").select(F.explode(F.when(F.col("open"), open_keys).otherwise(linked_keys)).alias("key"), "open", "fp", "text")
+    return found.unionByName(dealt.repartition("key").sortWithinPartitions("key", "open", "fp").mapInPandas(check, links))
+
+
+def similar(docs: DataFrame, limit: int = WIDE_LIMIT, radius: int = WIDE_RADIUS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Every row's (doc_id, text_key, root): documents whose sets of five-word shingles are 0.8 similar or more share a root.
 
     Equal sets are one node. Nodes meet in buckets of equal bands of least hashes and are compared there, bit-sliced, by their prints; what lies within the
     radius is chained to groups of candidates. Inside a group only pairs of an exact similarity of 0.8 or more are linked, and chains of those are followed.
     """
     arrow_batches(docs.sparkSession)
-    rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.pandas_udf(_wide, "array<long>")(F.col("text")).alias("a"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + PER_TEXT
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), size.alias("bytes"), F.pandas_udf(_wide, "array<long>")(F.col("text")).alias("a"))
     words = [F.col("a")[i].alias(f"f{i}") for i in range(WORDS)]
     rows = materialise(rows.withColumn("fp", F.col("a")[WORDS + BANDS]), "signatures")
     nodes = rows.groupBy("fp").agg(F.min("a").alias("a"))
@@ -338,19 +406,29 @@ def similar(docs: DataFrame, limit: int = LIMIT, radius: int = WIDE_RADIUS) -> D
     keyed = nodes.select("fp", *words, F.explode(keys).alias("key"))
     groups = components(similar_links(keyed, limit, radius))
     # One row stands for each node of a group and brings its text.
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))
-    chosen = rows.join(groups, "fp").groupBy("fp", "label").agg(F.min(place).alias("at")).select("fp", "label", "at._d", "at._t")
-    texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("_k"))
-    texts = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_d"]) & (texts["_k"] == chosen["_t"])).select("label", "fp", "text")
-    check = functools.partial(_verified, radius=radius)
-    labels = components(texts.repartition("label").sortWithinPartitions("label", "fp").mapInPandas(check, "fp long, root long"))
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "bytes")
+    chosen = rows.join(groups, "fp").groupBy("fp", "label").agg(F.min(place).alias("at")).select("fp", "label", "at.d", "at.t", "at.bytes")
+    chosen = materialise(chosen, "chosen")
+    texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("k"))
+    texts = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["d"]) & (texts["k"] == chosen["t"])).select("label", "fp", "text")
+    if not rows.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["fp"])  # repeated rows
+    sizes = chosen.groupBy("label").agg(F.sum("bytes").alias("bytes"), F.min("fp").alias("root"))
+    labels = components(verified_links(texts, sizes, group_bytes, radius))
     return rows.select("doc_id", "text_key", "fp").join(labels, "fp", "left").select("doc_id", "text_key", F.coalesce("label", "fp").alias("root"))
 
 
-def keep_one(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """One document of each group of similar() stays: the smallest doc_id, and of equal ids the smallest text key."""
-    found = similar(docs, limit)
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias("_d"), F.col("k.text_key").alias("_t"))
-    kept = docs.withColumn("_t", text_key(F.col("text")))
-    same = kept["doc_id"].eqNullSafe(first["_d"]) & (kept["_t"] == first["_t"])
-    return kept.join(first, same, "left_semi").dropDuplicates(["doc_id", "_t"]).drop("_t")
+def keep_one(docs: DataFrame, limit: int = WIDE_LIMIT, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """One document of each group of similar() stays: the smallest doc_id (null comes last), of equal ids the smallest text key, and of rows that agree in
+    both the one with the smallest hash of all its columns. Every column stays, whatever its name."""
+    found = similar(docs, limit, group_bytes=group_bytes)
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
+    first = found.groupBy("root").agg(F.min(place).alias("k"), F.count(F.lit(1)).alias("rows")).select("root", F.col("k.doc_id").alias("d"), F.col("k.text_key").alias("t"), "rows")
+    first = materialise(first.select("d", "t", (F.col("rows") > 1).alias("several")), "kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), text_key(F.col("text")).alias("text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))
+    kept = rows.join(first, same).select("row", "d", "t", "several")
+    # Only a root with several rows can have its document more than once.
+    once = kept.where(~F.col("several")).select("row")
+    chosen = kept.where("several").groupBy("d", "t").agg(F.min_by("row", F.struct(F.xxhash64("row"), F.to_json("row"))).alias("row")).select("row")
+    return once.unionByName(chosen).select("row.*")

@@ -172,3 +172,80 @@ def test_links_are_verified(spark, docs, texts):
             parent[find(i)] = find(blank[0])
         root = {r["doc_id"]: r["root"] for r in simhash.similar(frame).collect()}
         assert len({(root[i], find(i)) for i in by}) == len(set(root.values())) == len({find(i) for i in by})
+
+
+def test_links_do_not_depend_on_limits(spark):
+    """Chains, hot buckets and many unlike members: small limits of buckets and groups give the very groups of large ones, those of all pairs."""
+    rng = np.random.default_rng(5)
+    base, rows = [f"w{i}" for i in range(120)], {}
+    words = list(base)
+    for i in range(60):  # a chain: each text replaces two more words, so that its ends have little in common
+        words[2 * i : 2 * i + 2] = [f"c{i}", f"d{i}"]
+        rows[i] = " ".join(words)
+    for i in range(60, 260):  # near copies of one text
+        k = int(rng.integers(0, 120))
+        rows[i] = " ".join([*base[:k], f"n{i}", *base[k + 1 :]])
+    for i in range(260, 460):  # half of the text in common
+        rows[i] = " ".join([*base[:70], *(f"u{i}x{j}" for j in range(50))])
+    parent = {i: i for i in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, b), j in jaccard(rows).items():
+        if j >= 0.8:
+            parent[find(a)] = find(b)
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    found = []
+    for limit, group_bytes in ((4, 1500), (2048, 64 << 20), (40, 20_000)):
+        root = {r["doc_id"]: r["root"] for r in simhash.similar(df, limit, group_bytes=group_bytes).collect()}
+        first = {}
+        for i in sorted(root):
+            first.setdefault(root[i], i)
+        found.append({i: first[root[i]] for i in root})
+    assert found[0] == found[1] == found[2]
+    assert len({(found[0][i], find(i)) for i in rows}) == len(set(found[0].values())) == len({find(i) for i in rows})
+
+
+def test_chunks_of_a_bucket_meet():
+    """Every two members of a bucket share one of its keys, however many chunks it has."""
+    from starloom.llm.simhash import verified_forest
+
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, 50).astype(np.uint64)) for _ in range(6)]
+    sets += [np.unique(np.concatenate([s[1:], rng.integers(0, 2**63, 1).astype(np.uint64)])) for s in sets]
+    plain = {frozenset(x) for x in verified_forest(sets, 256)}
+    assert plain == {frozenset((i, i + 6)) for i in range(6)}
+    # The first six are connected already: their partners join the first one's component.
+    assert sorted(i for i, _ in verified_forest(sets, 256, known=6)) == list(range(6, 12))
+
+
+def test_unlike_members_of_a_hot_bucket(spark):
+    """20,000 unlike prints under one key, and two near ones among them: found, in chunks as in one piece."""
+    prints = np.random.default_rng(9).integers(-(2**63), 2**63, (20_000, 4))
+    prints[777] = prints[19_000] ^ 0b111
+    rows = [(1, i, *map(int, p)) for i, p in enumerate(prints)]
+    df = spark.createDataFrame(rows, "key long, fp long, f0 long, f1 long, f2 long, f3 long")
+    for limit in (8000, 1 << 15):
+        links = simhash.similar_links(df, limit, radius=48).collect()
+        assert {frozenset((r["fp"], r["root"])) for r in links if r["fp"] != r["root"]} == {frozenset((777, 19_000))}
+
+
+def test_every_column_stays(docs):
+    names = [f for f in "root d t k n row text_key several label fp key open bytes a f0 count at pivot m _t _d".split()]
+    more = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    kept = simhash.keep_one(more)
+    assert kept.columns == more.columns and kept.count() == simhash.keep_one(docs).count()
+    assert all(r[n] == n for r in kept.collect() for n in names)
+    found = simhash.near_duplicates(more)
+    assert found.count() == docs.count()
+
+
+def test_rows_that_differ_in_other_columns(spark):
+    """Of rows with one id and text one stays, and always the same one."""
+    rows = [(1, "one two three four five six", x) for x in "abcdef"] + [(2, "other words are here in this one", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {tuple(sorted(tuple(r) for r in simhash.keep_one(df.repartition(n)).collect())) for n in (1, 3)}
+    assert len(got) == 1 and len(next(iter(got))) == 2
