@@ -6,7 +6,7 @@ table (word, c) is as large as the vocabulary and stays distributed.
 The model predicts the class of a token from the classes of the two before it. The most frequent words (`vocabulary`) are classes of
 their own; every other word belongs to one of 64 classes by its last two bytes and has, inside its class, the add-one share of its count,
 with one share for the unseen. The score of a token given its context h is (C1 r1 + C2 r2) . t + b, normalised over all classes. Its weights are
-learnt in NumPy by NCE with noise from the class counts, from every token of every training document: in each of three passes, each partition starts from the
+learnt in NumPy by NCE with noise from the class counts, from every token of every training document: in each of two passes, each partition starts from the
 same weights and walks through its texts, and the weights are averaged by tokens (so they depend a little on how the table is partitioned). Since there are few classes, batched matrix products give the normaliser of every context once; scoring gathers from these tables.
 
 Counts of the `dictionary` most frequent words (a bound in rows) travel to the executors; the other words of a document meet the count
@@ -101,7 +101,7 @@ def start_weights(weights: np.ndarray, dim: int = 32, seed: int = 1) -> list[np.
 
 def _sums(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums of `values` by row number `at`."""
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16) if rows <= 1 << 16 else at, kind="stable")  # 16 bits are sorted by radix
     found = at[order]
     first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
     out = np.zeros((rows, *values.shape[1:]), np.float32)
@@ -112,7 +112,7 @@ def _sums(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Nce:
     """Noise-contrastive estimation from given parameters on; the noise are the class counts."""
 
-    def __init__(self, params: list[np.ndarray], weights: np.ndarray, seed, batch: int = 2048, noise: int = 256, rate: float = 0.05) -> None:
+    def __init__(self, params: list[np.ndarray], weights: np.ndarray, seed, batch: int = 2048, noise: int = 64, rate: float = 0.05) -> None:
         self.params = [x.copy() for x in params]
         self.square = [np.full_like(x, 1e-6) for x in params]
         self.rng, self.batch, self.noise, self.rate = np.random.default_rng(seed), batch, noise, rate
@@ -135,9 +135,15 @@ class Nce:
             drawn = np.searchsorted(self.sums, self.rng.random(self.noise), side="right")
             tn = t[drawn]
             # The odds that a token is data and not one of the noise: s - log(noise * p).
-            data = 1 / (1 + np.exp(-np.clip((q * tw).sum(1) + b[w] - log_noise - self.logp[w], -30, 30)))
-            fake = 1 / (1 + np.exp(-np.clip(q @ tn.T + (b[drawn] - log_noise - self.logp[drawn]), -30, 30)))
-            gd, gf = (1 - data) / np.float32(len(i)), -fake / np.float32(len(i))
+            data = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", q, tw) + b[w] - log_noise - self.logp[w], -30, 30)))
+            gf = q @ tn.T
+            gf += b[drawn] - log_noise - self.logp[drawn]
+            np.clip(gf, -30, 30, out=gf)
+            np.negative(gf, out=gf)
+            np.exp(gf, out=gf)
+            gf += 1
+            np.divide(np.float32(-1 / len(i)), gf, out=gf)  # minus the odds of the noise, by token
+            gd = (1 - data) / np.float32(len(i))
             gq = gd[:, None] * tw + gf @ tn
             both = np.concatenate((w, drawn))
             grads = [
@@ -164,7 +170,7 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([total], pa.int64()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], names=["n", "weights"])
 
 
-def train_nce(texts: DataFrame, own: list[bytes], weights: np.ndarray, tokens: int, epochs: int = 3, seed: int = 1) -> LogBilinear:
+def train_nce(texts: DataFrame, own: list[bytes], weights: np.ndarray, tokens: int, epochs: int = 2, seed: int = 1) -> LogBilinear:
     """`texts` (text: binary), all of which teach; `own`: words with a class of their own; `weights`: class counts; `tokens` in all."""
     params = start_weights(weights, seed=seed)
     context = texts.sparkSession.sparkContext
