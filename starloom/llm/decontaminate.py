@@ -5,11 +5,14 @@ to k = floor(rate * m) edits. It is split into k + 1 pieces: k edits leave at le
 all pieces of all items in a text; around each hit the item is verified with Myers' bit-parallel distance (semi-global: anywhere in the
 window). Before that comes the q-gram lemma, which only drops windows that cannot be within the budget.
 
-The items are a stated set matched against all documents. They are read in blocks of at most `block_chars` characters, a pass over the
-documents for each block, so what is broadcast is bounded at any benchmark size.
+Items of fewer than `min_words` words have a budget of 0 and count where they stand as whole words.
 
-Null or empty texts match nothing; null items and items of fewer than `min_words` words are no evidence and are left out. Equal items match alike, each under
-its own id. Repeated rows each get their result.
+The items are a stated set matched against all documents. They are read in blocks of at most `block_chars` characters; each block is broadcast and has a pass over
+the documents of its own, whose findings are written before the next block is read. So what is broadcast, and what a worker holds, is bounded at any benchmark size.
+
+Null or empty texts match nothing; null items and items without a letter or digit are no evidence and are left out. Equal items match alike, each under
+its own id, whose type is the benchmark's. Repeated rows each get their result; rows with equal doc_id and text are one document. Of equally good places of an item the
+first counts. Empty tables give empty results, an empty benchmark leaves all documents. Other columns stay, whatever their names, but for `leaks` in with_leaks().
 """
 
 from __future__ import annotations
@@ -21,11 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, without
+from .common import arrow_batches, materialise, text_key, without
 
 Q = 4
 _GAP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-LEAKS = "array<struct<item_id long, distance int, budget int, start int, stop int>>"
+FIELDS = ("item_id", "distance", "budget", "start", "stop")
+MIN_WORDS = 5
 
 
 def normalise(text: str | None) -> str:
@@ -65,12 +69,14 @@ def _masks(pattern: str) -> dict[str, int]:
 class Matcher:
     """All items of one block, ready for matching."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float) -> None:
+    def __init__(self, items: list[tuple[object, str]], rate: float, min_words: int = MIN_WORDS) -> None:
         self.items = []
+        self.short: list[bool] = []
         where: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             m = len(text)
-            k = min(int(rate * m), m - 1)
+            self.short.append(text.count(" ") + 1 < min_words)
+            k = 0 if self.short[-1] else min(int(rate * m), m - 1)
             cuts = [m * i // (k + 1) for i in range(k + 2)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 where.setdefault(text[a:b], []).append((len(self.items), a))
@@ -83,7 +89,7 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not where
 
-    def leaks(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
+    def leaks(self, text: str | None) -> list[tuple[object, int, int, int, int]]:
         """(item_id, distance, budget, start, end) of the best occurrence of each item, in the normalised text."""
         text = normalise(text)
         if self.empty or not text:
@@ -96,6 +102,10 @@ class Matcher:
                 if i in found and found[i][0] == 0:
                     continue
                 m, start = len(pattern), end + 1 - size - offset
+                if self.short[i]:
+                    if (start == 0 or text[start - 1] == " ") and (start + m == len(text) or text[start + m] == " "):
+                        found[i] = (0, start + m)
+                    continue
                 a, b = max(0, start - k), min(len(text), start + m + k)
                 if b - a < m - k or start in tried.get(i, ()):
                     continue
@@ -119,7 +129,7 @@ class Matcher:
             lead = text[max(0, stop - m - k) : stop][::-1]
             start = stop - (m if distance == 0 else self._length(back, m, lead, distance))
             out.append((item_id, distance, k, start, stop))
-        return sorted(out)
+        return sorted(out, key=lambda x: (str(x[0]), x[3], x[4]))
 
     @staticmethod
     def _length(masks: dict[str, int], m: int, text: str, most: int) -> int:
@@ -127,12 +137,12 @@ class Matcher:
         return hit[1] if hit else m
 
 
-def blocks(benchmark: DataFrame, min_words: int = 5, block_chars: int = 4_000_000) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, block_chars: int = 4_000_000) -> Iterator[list[tuple[object, str]]]:
     """Normalised items (id, text) in blocks that fit a broadcast; streamed through the driver, never all at once."""
     block, size = [], 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
         text = normalise(r["text"])
-        if len(text.split()) < min_words:
+        if not text:
             continue
         block.append((r["item_id"], text))
         size += len(text)
@@ -143,34 +153,72 @@ def blocks(benchmark: DataFrame, min_words: int = 5, block_chars: int = 4_000_00
         yield block
 
 
-def leaks_of(text: Column, items: list[tuple[int, str]], rate: float) -> Column:
-    """Array of the block's items that a text contains within their budgets."""
+def leaks_of(docs: DataFrame, items: list[tuple[object, str]], rate: float, min_words: int, id_type: str) -> Column:
+    """Array of the block's items that the column `text` contains within their budgets."""
+    sent = docs.sparkSession.sparkContext.broadcast(items)
     made: list[Matcher] = []
 
     def match(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if not made:
-            made.append(Matcher(items, rate))
+            made.append(Matcher(sent.value, rate, min_words))
         for batch in texts:
-            yield pd.Series([[dict(zip(("item_id", "distance", "budget", "start", "stop"), x, strict=True)) for x in made[0].leaks(t)] for t in batch], dtype=object)
+            yield pd.Series([[dict(zip(FIELDS, x, strict=True)) for x in made[0].leaks(t)] for t in batch], dtype=object)
 
-    return F.pandas_udf(match, LEAKS).asNondeterministic()(text)
+    return F.pandas_udf(match, f"array<struct<item_id {id_type}, distance int, budget int, start int, stop int>>").asNondeterministic()(F.col("text"))
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, min_words: int = 5) -> DataFrame:
-    """All rows and columns, with `leaks`; a column of that name is replaced."""
+def passes(docs: DataFrame, benchmark: DataFrame, rate: float, min_words: int, block_chars: int) -> tuple[str, list[Column] | list[DataFrame]]:
+    """("column", one expression over `text`) for a benchmark of one block, else ("tables", a written table (d, t, leak) a block)."""
     arrow_batches(docs.sparkSession)
-    out = without(docs, "leaks").withColumn("leaks", F.array().cast(LEAKS))
-    for block in blocks(benchmark, min_words):
-        out = out.withColumn("leaks", F.concat("leaks", leaks_of(F.col("text"), block, rate)))
+    id_type = benchmark.schema["item_id"].dataType.simpleString()
+    parts, waiting = [], None
+    found = blocks(benchmark, block_chars)
+    for block in found:
+        if waiting is None and not parts:
+            waiting = block
+            continue
+        for some in [b for b in (waiting, block) if b]:
+            keyed = docs.select(F.col("doc_id").alias("d"), text_key(F.col("text")).alias("t"), "text")
+            leak = F.explode(leaks_of(docs, some, rate, min_words, id_type)).alias("leak")
+            parts.append(materialise(keyed.select("d", "t", leak), "leaks"))
+        waiting = None
+    if parts:
+        return "tables", parts
+    return "column", [leaks_of(docs, waiting or [], rate, min_words, id_type)]
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
-def leaked(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, min_words: int = 5) -> DataFrame:
+def with_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, min_words: int = MIN_WORDS, block_chars: int = 4_000_000) -> DataFrame:
+    """All rows and columns, with `leaks`; a column of that name is replaced."""
+    kept = without(docs, "leaks")
+    kind, parts = passes(docs, benchmark, rate, min_words, block_chars)
+    if kind == "column":
+        return kept.withColumn("leaks", parts[0])
+    found = _all(parts).distinct().groupBy("d", "t").agg(F.collect_list("leak").alias("found"))
+    rows = kept.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("d")) & (text_key(F.col("row.text")) == F.col("t"))
+    leaks = F.coalesce("found", F.array().cast(found.schema["found"].dataType))
+    return rows.join(found, same, "left").select("row.*", leaks.alias("leaks"))
+
+
+def leaked(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, min_words: int = MIN_WORDS, block_chars: int = 4_000_000) -> DataFrame:
     """A row for each document and item it contains: doc_id, item_id, distance, budget, start, stop."""
-    found = with_leaks(docs.select("doc_id", "text"), benchmark, rate, min_words)
-    return found.select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.*")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, min_words: int = 5) -> DataFrame:
-    """The documents that contain no item."""
-    return with_leaks(docs, benchmark, rate, min_words).where(F.size("leaks") == 0).drop("leaks")
+    kind, parts = passes(docs, benchmark, rate, min_words, block_chars)
+    found = docs.select(F.col("doc_id").alias("d"), F.explode(parts[0]).alias("leak")) if kind == "column" else _all(parts)
+    return found.select(F.col("d").alias("doc_id"), "leak.*")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, min_words: int = MIN_WORDS, block_chars: int = 4_000_000) -> DataFrame:
+    """The documents that contain no item, with all their columns."""
+    kind, parts = passes(docs, benchmark, rate, min_words, block_chars)
+    rows = docs.select(F.struct("*").alias("row"), F.col("text"))
+    if kind == "column":
+        return rows.select("row", F.size(parts[0]).alias("n")).where("n = 0").select("row.*")
+    same = F.col("row.doc_id").eqNullSafe(F.col("d")) & (text_key(F.col("row.text")) == F.col("t"))
+    return rows.join(_all(parts).select("d", "t").distinct(), same, "left_anti").select("row.*")

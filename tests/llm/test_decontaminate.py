@@ -79,3 +79,50 @@ def test_blocks_cover_all_items(spark):
 def test_odd_rows(odd, spark):
     bench = spark.createDataFrame([(1, "the same words in this text")], "item_id long, text string")
     assert sorted(r["doc_id"] for r in decontaminate.leaked(odd, bench).collect()) == [4, 4, 5]
+
+
+def test_short_items_match_whole_words(spark):
+    bench = spark.createDataFrame([("x1", "Blue moon?"), ("x2", "42"), ("x3", "?!"), ("x4", "a much longer item with enough words")], "item_id string, text string")
+    rows = [(1, "once in a BLUE, moon."), (2, "blue moons"), (3, "it is 42"), (4, "it is 421"), (5, "a much longr item with enough words here"), (6, "nothing")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (4_000_000, 10):
+        got = sorted((r["doc_id"], r["item_id"], r["budget"]) for r in decontaminate.leaked(docs, bench, block_chars=size).collect())
+        assert got == [(1, "x1", 0), (3, "x2", 0), (5, "x4", 2)]
+        assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench, block_chars=size).collect()) == [2, 4, 6]
+
+
+def test_several_blocks_equal_one(spark, docs, odd):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    for frame in (docs, odd):
+        names = [f for f in "row d t n leak found item_id distance budget start stop".split()]
+        more = frame.select("*", *[F.lit(n).alias(n) for n in names])
+        one, many = (sorted(map(tuple, decontaminate.leaked(more, benchmark, block_chars=c).collect()), key=str) for c in (4_000_000, 1500))
+        assert one == many
+        kept = [decontaminate.clean(more, benchmark, block_chars=c) for c in (4_000_000, 1500)]
+        assert kept[0].columns == kept[1].columns == more.columns
+        a, b = (sorted((tuple(r) for r in k.collect()), key=str) for k in kept)
+        assert a == b and all(r[len(frame.columns) :] == tuple(names) for r in a)
+        x, y = (sorted(((r["doc_id"], sorted(map(tuple, r["leaks"]))) for r in decontaminate.with_leaks(more, benchmark, block_chars=c).collect()), key=str) for c in (4_000_000, 1500))
+        assert x == y
+
+
+def test_whole_table_against_sellers(spark, docs, texts):
+    """Every document, whole, against every item by the full table of edit distances, a row at a time in NumPy."""
+    import numpy as np
+
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = {r["item_id"]: decontaminate.normalise(r["text"]) for r in benchmark.collect()}
+    items = {i: items[i] for i in sorted(items)[:3]}
+    few = benchmark.where(F.col("item_id").isin(list(items)))
+    want = set()
+    for d, t in texts.items():
+        text = np.frombuffer(decontaminate.normalise(t).encode("utf-32-le"), np.uint32)
+        ramp = np.arange(len(text) + 1)
+        for i, p in items.items():
+            row = np.zeros(len(text) + 1, np.int64)
+            for k, ch in enumerate(map(ord, p), 1):
+                new = np.concatenate(([k], np.minimum(row[1:] + 1, row[:-1] + (text != ch))))
+                row = np.minimum.accumulate(new - ramp) + ramp  # insertions carry over from the left
+            if row.min() <= int(0.08 * len(p)):
+                want.add((d, i, int(row.min())))
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.leaked(docs, few).collect()} == want
