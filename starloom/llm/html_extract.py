@@ -9,9 +9,11 @@ The text of content nodes is returned: character references decoded, white space
 order by one space. Script, style, template, head and the like are never shown, so their text never counts.
 
 The labelled pages are made by `labelled_pages`, from layouts with varying tags, class names and positions: articles with
-paragraphs, lists, quotes and tables among menus, headers, footers, sidebars, notices, adverts, forms and comments.
+paragraphs, lists, quotes and tables among menus, headers, footers, sidebars, notices, adverts, forms and comments. Which elements are main text the layouts
+say, not the features: an element's names may be missing or mislead. That an element is hidden by an attribute is a feature, too, and decides nothing alone.
 
-Null or empty html, and pages without content, give an empty text; any text is parsed, however malformed. Rows are independent.
+Null or empty html, and pages without content, give an empty text; any text is parsed, however malformed, in time that grows with its length. Rows are independent:
+repeated rows repeat their result, an empty table gives an empty one, other columns are not read, whatever their names. A node at even odds counts as content.
 """
 
 from __future__ import annotations
@@ -68,7 +70,9 @@ _HINT_OF = {w: k for k, ws in HINTS.items() for w in ws}
 # Possessive, and no tag reaches past the next <: a page of unclosed tags is read in one pass.
 _MARKUP = re.compile(r"""<!--|<!|<\?|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDES = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
+_HIDES = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)""", re.I)
+_HIDES_BY = re.compile(r"""display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*["']?true""", re.I)
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -88,21 +92,57 @@ class Tree:
         self.parents.append(parent)
         self.attrs.append(attrs)
         self.texts.append(text)
-        self.hidden.append(name in HIDDEN or (parent >= 0 and self.hidden[parent]) or bool(attrs and _HIDES.search(attrs)))
+        self.hidden.append(name in HIDDEN or (parent >= 0 and self.hidden[parent]))
         return len(self.names) - 1
 
 
+class _Open:
+    """The open elements. Where each name and the nearest scope stand is kept, so that no tag looks through all of them."""
+
+    def __init__(self, root: int) -> None:
+        self.nodes, self.names = [root], [""]
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def push(self, node: int, name: str) -> None:
+        self.at.setdefault(name, []).append(len(self.nodes))
+        if name in SCOPES:
+            self.scopes.append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def last(self, name: str) -> int:
+        """The nearest open element of a name, 0 if there is none."""
+        found = self.at.get(name)
+        return found[-1] if found else 0
+
+    def cut(self, k: int) -> None:
+        """End the elements from k on."""
+        while len(self.nodes) > k:
+            self.nodes.pop()
+            name = self.names.pop()
+            self.at[name].pop()
+            if name in SCOPES:
+                self.scopes.pop()
+
+    def close(self, which: frozenset[str]) -> None:
+        """End the nearest open element of these names, unless a scope stands between."""
+        k = max(map(self.last, which))
+        if k and k >= (self.scopes[-1] if self.scopes else 0):
+            self.cut(k)
+
+
 def parse(page: str) -> Tree:
     """A DOM that is good enough for text: void, raw and implied end tags; stray end tags are ignored."""
     t = Tree()
-    stack = [t.add("html", -1)]
+    opened = _Open(t.add("html", -1))
+    stack = opened.nodes
     at, size, lower = 0, len(page), None
 
     def text(a: int, b: int) -> None:
         if a < b:
             t.add("#", stack[-1], "", page[a:b])
 
-    names = t.names
     search = _MARKUP.search
     while at < size:
         m = search(page, at)
@@ -121,26 +161,18 @@ def parse(page: str) -> Tree:
             continue
         at, name = m.end(), name.lower()
         if m[1]:
-            if name in ("p", "br") and name not in (names[i] for i in stack):
-                continue
-            for k in range(len(stack) - 1, 0, -1):
-                if names[stack[k]] == name:
-                    del stack[k:]
-                    break
-                if name in INLINE and names[stack[k]] in SCOPES:
-                    break
+            k = opened.last(name)
+            if k and not (name in INLINE and opened.scopes and opened.scopes[-1] > k):
+                opened.cut(k)
             continue
-        if name in ("html", "body") and len(stack) > 1 and any(names[i] == name for i in stack):
+        if name == "html" or (name == "body" and opened.last("body")):
             continue
-        if name == "html":
-            continue
-        if name == "body" or (name not in HIDDEN and name not in VOID and any(names[i] == "head" for i in stack)):
-            while len(stack) > 1 and any(names[i] == "head" for i in stack):
-                stack.pop()
+        if opened.last("head") and (name == "body" or (name not in HIDDEN and name not in VOID)):
+            opened.cut(opened.at["head"][0])
         if name in CLOSES_P:
-            _close(stack, names, frozenset(("p",)))
+            opened.close(_P)
         if name in SIBLINGS:
-            _close(stack, names, SIBLINGS[name])
+            opened.close(SIBLINGS[name])
         node = t.add(name, stack[-1], m[3] or "")
         if name in VOID or (m[3] or "").endswith("/") and name not in RAW and name not in CLOSES_P:
             continue
@@ -150,25 +182,16 @@ def parse(page: str) -> Tree:
                 lower = "".join(c.lower() if c.isascii() else c for c in page)
             end = lower.find("</" + name, at)
             end = size if end < 0 else end
-            stack.append(node)
-            text(at, end)
-            stack.pop()
+            if at < end:
+                t.add("#", node, "", page[at:end])
             close = page.find(">", end)
             at = size if close < 0 else close + 1
             continue
-        stack.append(node)
+        opened.push(node, name)
     return t
 
 
-def _close(stack: list[int], names: list[str], which: frozenset[str]) -> None:
-    """End the nearest open element of these names, unless a scope stands between."""
-    for k in range(len(stack) - 1, 0, -1):
-        name = names[stack[k]]
-        if name in which:
-            del stack[k:]
-            return
-        if name in SCOPES:
-            return
+_P = frozenset(("p",))
 
 
 @lru_cache(20_000)
@@ -181,6 +204,12 @@ def hints(attrs: str) -> frozenset[str]:
     return frozenset(out)
 
 
+@lru_cache(20_000)
+def hides(attrs: str) -> bool:
+    """Whether attributes say that an element is not shown; `hidden` counts as the name of an attribute, not inside a value."""
+    return bool(_HIDES_BY.search(attrs) or _HIDES.search(_QUOTED.sub('""', attrs)))
+
+
 # One-hot features of an element's name; the rest of the names share one.
 GROUPS = {
     **{x: x for x in "article main nav header footer aside form p pre blockquote figure figcaption table ul ol li a div section h1 button label".split()},
@@ -193,7 +222,7 @@ GROUPS = {
 FEATURES = {
     f: i
     for i, f in enumerate(
-        ["bias", "#", "other", *dict.fromkeys(GROUPS.values()), *(f"hint:{h}" for h in HINTS), "in:article", "in:main", "in:edge", "in:link", "in:hint", "links>.5", "links>.8", "short", "medium", "long", "sentence", "copyright"]
+        ["bias", "#", "other", *dict.fromkeys(GROUPS.values()), *(f"hint:{h}" for h in HINTS), "in:article", "in:main", "in:edge", "in:link", "in:hint", "hides", "links>.5", "links>.8", "short", "medium", "long", "sentence", "copyright"]
     )
 }
 _EDGE = frozenset("nav header footer aside form button".split())
@@ -227,6 +256,8 @@ def features(t: Tree) -> tuple[list[list[int]], list[int], list[bool]]:
         active = [f["bias"], f[group]]
         mine = hints(t.attrs[i]) if t.attrs[i] else frozenset()
         active += [f[f"hint:{h}"] for h in mine]
+        if t.attrs[i] and hides(t.attrs[i]):
+            active.append(f["hides"])
         active += [f[x] for x in above]
         if size[i]:
             share = linked[i] / size[i]
@@ -353,7 +384,7 @@ def extract(page: str | None, model: TreeModel) -> str:
 # ---- labelled pages
 
 _SYLLABLES = "ba ce di fo gu la me ni po ru sa te vi zo an er is on ul est and ing tra pre com".split()
-TRUE = "\x01"  # marks, in a layout, elements whose text is main text
+TRUE, FALSE = "\x01", "\x02"  # mark, in a layout, elements whose text is or is not main text
 
 
 def _words(r: random.Random, n: int) -> str:
@@ -365,11 +396,13 @@ def _sentences(r: random.Random, n: int) -> str:
 
 
 def _element(r: random.Random, names: str, hint: str, odds: float = 0.7) -> str:
-    """An opening tag of one of the names, often with a telling class or id."""
-    name = r.choice(names.split())
+    """An opening tag, of one of the names, of something that is no main text; often with a telling class or id, sometimes hidden."""
+    name, extra = r.choice(names.split()), ""
     if hint and r.random() < odds:
-        return f'<{name} {r.choice(("class", "class", "id"))}="{r.choice(HINTS[hint])}{r.choice(("", "-wrap", " box", "_1", " clearfix"))}">'
-    return f"<{name}>"
+        extra = f' {r.choice(("class", "class", "id"))}="{r.choice(HINTS[hint])}{r.choice(("", "-wrap", " box", "_1", " clearfix"))}"'
+    if r.random() < 0.08:
+        extra += r.choice((" hidden", ' style="display:none"', ' aria-hidden="true"'))
+    return f"<{name}{extra} {FALSE}>"
 
 
 def _wrap(opened: str, inner: str) -> str:
@@ -383,6 +416,8 @@ def _links(r: random.Random, n: int) -> str:
 
 def _article(r: random.Random) -> str:
     parts = []
+    # Main text may be hidden at first as well, say until a reader opens it.
+    p = lambda: "<p" + (r.choice((" hidden", ' style="display: none"', ' class="lead hidden md:block"', ' aria-hidden="true"')) if r.random() < 0.06 else "") + ">"
     if r.random() < 0.8:
         parts.append(f"<h1>{_words(r, r.randint(2, 9)).capitalize()}</h1>")
     for _ in range(r.choice((0, 1, 2, 3, 5, 8, 14))):
@@ -391,7 +426,7 @@ def _article(r: random.Random) -> str:
         if r.random() < 0.3:
             text = text.replace(" ", r.choice((" <b>", " <em>", ' <a href="/x">', " <i>")), 1) + r.choice(("</b>", "</em>", "</a>", "</i>", ""))
         if kind < 0.6:
-            parts.append(f"<p>{text}</p>" if r.random() < 0.8 else f"<p>{text}<br>")
+            parts.append(f"{p()}{text}</p>" if r.random() < 0.8 else f"{p()}{text}<br>")
         elif kind < 0.68:
             parts.append(f"<h2>{_words(r, 4)}</h2>")
         elif kind < 0.76:
@@ -439,15 +474,13 @@ def labelled_pages(n: int = 120, seed: int = 9) -> list[tuple[Tree, list[bool]]]
         top = [f() for f in r.sample(extra, r.randint(1, 5))]
         low = [f() for f in r.sample(extra, r.randint(0, 3))] + [f() for f in after if r.random() < 0.7]
         if r.random() < 0.3:  # something foreign inside the article
-            cut = inner.find("</p><p>")
-            body = body.replace("</p><p>", f"</p>{r.choice(extra[3:5])()}<p>", 1) if cut > 0 else body
+            body = body.replace("</p><p>", f"</p>{r.choice(extra[3:5])()}<p>", 1)
         page = f"<html><head><title>{_words(r, 4)}</title><style>p{{}}</style></head><body>{''.join(top)}{body}{''.join(low)}</body></html>"
         t = parse(page)
         label: list[bool] = []
         for i, p in enumerate(t.parents):
-            bad = hints(t.attrs[i]) - {"main"} or t.names[i] in _EDGE
-            label.append(TRUE in t.attrs[i] or (p >= 0 and label[p] and not bad))
-        t.attrs = [a.replace(TRUE, "") for a in t.attrs]
+            label.append(TRUE in t.attrs[i] or (FALSE not in t.attrs[i] and p >= 0 and label[p]))
+        t.attrs = [a.replace(TRUE, "").replace(FALSE, "") for a in t.attrs]
         out.append((t, label))
     return out
 
