@@ -5,9 +5,10 @@ the families picks one; in a family with several languages, every pair has its o
 and the language with most votes wins (ties: larger margins, then code point). The score is the family's probability times the mean
 squashed margin of the winner over its rivals, 0 to 1.
 
-Learning uses a bounded, hash-chosen sample (`per_language` rows a language, of at most `max_chars` characters); prediction reads whole texts.
+Learning uses a bounded, hash-chosen sample (about `per_language` rows a language), of which whole texts are profiled in the executors; prediction reads whole texts.
 Null text, and text without any letter, is `und` with score 0; so is everything if nothing was there to learn from. Labels that are
-null, and rows with such texts, teach nothing. Languages that FAMILIES lacks form a family each.
+null, and rows with such texts, teach nothing. Languages that FAMILIES lacks form a family each. Equal texts get equal results, repeated rows each their own; ties
+go by votes, margins, then code point. An empty table gives an empty one. Other columns stay, whatever their names; only `lang_pred` and `score` are replaced.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -61,9 +63,22 @@ class LanguageModel:
     pairs: tuple[tuple[int, int, int], ...]  # family, member, member
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.families or not has_letter(text):
-            return UNDETERMINED, 0.0
-        z = profile(text) @ self.weights + self.bias
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None], block: int = 256) -> list[tuple[str, float]]:
+        """One matrix product for each block of texts."""
+        out = [(UNDETERMINED, 0.0)] * len(texts)
+        if not self.families:
+            return out
+        known = [i for i, t in enumerate(texts) if has_letter(t)]
+        for at in range(0, len(known), block):
+            some = known[at : at + block]
+            z = np.stack([profile(texts[i]) for i in some]) @ self.weights + self.bias
+            for i, row in zip(some, z, strict=True):
+                out[i] = self._decide(row)
+        return out
+
+    def _decide(self, z: np.ndarray) -> tuple[str, float]:
         f = z[: len(self.families)]
         p = np.exp(f - f.max())
         family = int(f.argmax())
@@ -95,14 +110,23 @@ def _descend(x: np.ndarray, grad_of, outputs: int, steps: int, rate: float, deca
     return w, b
 
 
+def lessons(text: str) -> list[np.ndarray]:
+    """Profiles that a text teaches: its own, and that of its first 2 to 10 words alone (by a hash), so that short texts are known too."""
+    short = " ".join(text.split()[: 2 + crc32(text.encode("utf-8", "surrogatepass")) % 9])
+    return [profile(t) for t in (text, short) if has_letter(t)]
+
+
 def fit(rows: list[tuple[str, str]], families: dict[str, str] = FAMILIES, steps: int = 150) -> LanguageModel:
-    """From (text, language) pairs. Each text also teaches as its first words alone, so that short texts are known too."""
-    rows = sorted((lang, text) for text, lang in rows if lang is not None and has_letter(text))
+    """From (text, language) pairs."""
+    return fit_profiles([(lang, x) for text, lang in rows if lang is not None and has_letter(text) for x in lessons(text)], families, steps)
+
+
+def fit_profiles(rows: list[tuple[str, np.ndarray]], families: dict[str, str] = FAMILIES, steps: int = 150) -> LanguageModel:
+    """From (language, profile) pairs, in any order."""
     if not rows:
         return LanguageModel((), (), np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), ())
-    short = [(lang, " ".join(text.split()[: 2 + i % 9])) for i, (lang, text) in enumerate(rows)]
-    rows += [(lang, text) for lang, text in short if has_letter(text)]
-    x = np.stack([profile(t) for _, t in rows])
+    rows = sorted(rows, key=lambda r: (r[0], r[1].tobytes()))
+    x = np.stack([v for _, v in rows])
     langs = sorted({lang for lang, _ in rows})
     family_of = {lang: families.get(lang, f"only {lang}") for lang in langs}
     names = sorted(set(family_of.values()))
@@ -134,14 +158,27 @@ def fit(rows: list[tuple[str, str]], families: dict[str, str] = FAMILIES, steps:
     return LanguageModel(tuple(names), tuple(members), np.hstack(ws), np.concatenate(bs), tuple(pairs))
 
 
-def sample(docs: DataFrame, per_language: int = 250, max_chars: int = 100_000, seed: int = 8) -> list[tuple[str, str]]:
-    """About `per_language` (text, lang) rows of each language, by a hash of the id; the counts come from all rows."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    below = F.lit(0)
-    for r in known.groupBy("lang").count().collect():
-        below = F.when(F.col("lang") == r["lang"], sample_below(r["count"], per_language)).otherwise(below)
-    picked = known.where(hash31(F.lit(seed), id_text(F.col("doc_id"))) < below)
-    return [(r["text"], r["lang"]) for r in picked.select("text", "lang").collect()]
+def sample(docs: DataFrame, per_language: int = 250, seed: int = 8) -> list[tuple[str, np.ndarray]]:
+    """(lang, profile) of about `per_language` rows of each language, by a hash of the id; the counts come from all rows. Texts stay in the executors."""
+    arrow_batches(docs.sparkSession)
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    counts = known.groupBy("lang").count()
+    below = {r["lang"]: sample_below(r["count"], per_language) for r in counts.collect()}  # a row a language
+    threshold = F.element_at(F.create_map(*[F.lit(x) for kv in below.items() for x in kv]), F.col("lang")) if below else F.lit(0)
+    picked = known.where(hash31(F.lit(seed), id_text(F.col("doc_id"))) < threshold)
+
+    def teach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(lang, x) for lang, text in zip(batch["lang"], batch["text"], strict=True) if has_letter(text) for x in lessons(text)]
+            at = [np.flatnonzero(x) for _, x in found]
+            yield pd.DataFrame({"lang": [lang for lang, _ in found], "at": [i.astype(np.int32).tobytes() for i in at], "x": [x[i].tobytes() for i, (_, x) in zip(at, found, strict=True)]})
+
+    out = []
+    for r in picked.select("lang", "text").mapInPandas(teach, "lang string, at binary, x binary").collect():
+        x = np.zeros(1 << BITS, np.float32)
+        x[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["x"], np.float32)
+        out.append((r["lang"], x))
+    return out
 
 
 def predicted(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
@@ -150,7 +187,7 @@ def predicted(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colu
 
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.DataFrame([sent.value.predict(t) for t in batch], columns=["lang_pred", "score"])
+            yield pd.DataFrame(sent.value.predict_all(batch.tolist()), columns=["lang_pred", "score"])
 
     return F.pandas_udf(predict, "struct<lang_pred string, score double>").asNondeterministic()(F.col(text))
 
@@ -158,5 +195,6 @@ def predicted(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colu
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """All rows and columns, with lang_pred and score; input columns of those names are replaced."""
     arrow_batches(docs.sparkSession)
-    kept = without(docs, "lang_pred", "score", "_p")
-    return kept.withColumn("_p", predicted(docs, model, text)).withColumn("lang_pred", F.col("_p.lang_pred")).withColumn("score", F.col("_p.score")).drop("_p")
+    kept = without(docs, "lang_pred", "score")
+    rows = kept.select(F.struct("*").alias("row"), predicted(docs, model, text).alias("found"))
+    return rows.select("row.*", F.col("found.lang_pred").alias("lang_pred"), F.col("found.score").alias("score"))

@@ -39,7 +39,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_model(docs: DataFrame) -> langid.LanguageModel:
     """Learnt from the documents that are not held out."""
-    return langid.fit(langid.sample(docs.where(crc_mod(F.col("doc_id"), 4) != 2)))
+    return langid.fit_profiles(langid.sample(docs.where(crc_mod(F.col("doc_id"), 4) != 2)))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
