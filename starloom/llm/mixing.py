@@ -12,8 +12,8 @@
    A quota of q out of n blocks takes every block floor(q/n) times and the rest at seeded even spacing; F(x), the words
    taken out of the first x, has a closed form, so no row per block is made. A document gets F(end) - F(start).
 
-Rows: null text has size 0; a null source is a source of its own, after all others; repeated rows count each;
-an empty table gives an empty result. Input columns named as an output column are replaced.
+Rows: null text has size 0; a null source is a source of its own, after all others; repeated rows count each, and rows with one id stand in the order of
+their sizes and text hashes; an empty table gives an empty result. Other columns stay, whatever their names; those named as an output column are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, id_text, materialise, without
+from .common import WORD, id_text, materialise, text_key, without
 
 OUT = ("size", "source_size", "target", "taken")
 FEW, FULL = 100, 8
@@ -87,8 +87,13 @@ def mix(docs: DataFrame, seed: int = 11, max_epochs: int = 3, n_weights: int = 3
     Blocks have `block_tokens` words, or fewer where an average source would have fewer than `blocks_per_source`.
     Shards number sqrt(words / shard_root), so that both they and the documents in one stay few at any size; fewer where a source is small.
     """
-    base = without(docs, *OUT).withColumn("size", word_count(F.col("text"))).withColumn("_k", source_key(F.col("source")))
-    base = base.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), id_text(F.col("doc_id"))).cast("binary")))
+    rows = without(docs, *OUT).select(F.struct("*").alias("row"))
+    base = rows.select(
+        "row",
+        word_count(F.col("row.text")).alias("size"),
+        source_key(F.col("row.source")).alias("_k"),
+        F.md5(F.concat(F.lit(f"{seed}:"), id_text(F.col("row.doc_id"))).cast("binary")).alias("_h"),
+    )
     sizes = materialise(base.groupBy("_k").agg(F.sum("size").alias("source_size")), "sources")  # one row a source
     found = sizes.agg(F.sum("source_size").alias("t"), F.count(F.lit(1)).alias("n")).first()
     total, sources = int(found["t"] or 0), max(int(found["n"]), 1)
@@ -127,11 +132,12 @@ def mix(docs: DataFrame, seed: int = 11, max_epochs: int = 3, n_weights: int = 3
         F.col("target"),
         (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "_k", F.col("_s").cast("string")).cast("binary")), 1, 7), 16, 10).cast("bigint") % F.col("_n")).alias("_u"),
     )
-    stream = Window.partitionBy("_k", "_s").orderBy("_h", id_text(F.col("doc_id")), "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = "_h", id_text(F.col("row.doc_id")), "size", text_key(F.col("row.text"))
+    stream = Window.partitionBy("_k", "_s").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = base.withColumn("_end", F.sum("size").over(stream)).join(quotas, ["_k", "_s"])
     taken = F.expr(f"({taken_before('_end')}) - ({taken_before('(_end - size)')})")
     placed = placed.withColumn("taken", F.when(F.col("_shard_size") > 0, taken).otherwise(F.lit(0)).cast("bigint"))
-    return placed.drop("_k", "_h", "_s", "_end", "_n", "_q", "_u", "_shard_size")
+    return placed.select("row.*", *OUT)
 
 
 def taken_before(x: str) -> str:
