@@ -9,7 +9,8 @@ path or address; neighbouring words that speak for a secret or against; shares o
 The forest is trained on labelled findings (before, candidate, after, label), at most `max_findings` of them by a hash: a stated bound. `labelled_findings`
 makes a seeded set: keys in several alphabets and settings, and digests, identifiers, numbers, words, paths and placeholders that are none.
 
-Null and empty texts have no candidates; repeated rows repeat their findings; overlapping candidates do not occur. Offsets count characters from 0.
+Null and empty texts have no candidates; repeated rows repeat their findings; overlapping candidates do not occur. Offsets count characters from 0. A null doc_id
+stays null. An empty table gives no findings. Ties do not occur: each candidate is judged alone. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import hash31, sample_below
@@ -46,25 +47,23 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, start, stop, finding, before, after: a row for each candidate."""
     marked = F.regexp_replace(F.translate(F.col(text), "\x01\x02", "  "), f"({CANDIDATE})", "\x01$1\x02")
     parts = docs.select("doc_id", F.split(marked, "\x01", -1).alias("p")).where(F.size("p") > 1)
-    # Where each part starts in the text: each earlier one but the first has an end mark, and the split took the start mark.
-    starts = F.aggregate(
-        "p",
-        F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("n"), F.lit(0).alias("k")),
-        lambda s, x: F.struct(F.concat(s["at"], F.array(s["n"])).alias("at"), (s["n"] + F.length(x) - F.when(s["k"] > 0, 1).otherwise(0)).alias("n"), (s["k"] + 1).alias("k")),
-    )["at"]
+    # Each part but the first is a candidate, an end mark and what follows; its start is the length of all before, a sum over the text's few candidates.
     more = F.size("p") - 1
-    rows = F.arrays_zip(F.slice("p", 1, more).alias("prior"), F.slice("p", 2, more).alias("here"), F.slice("at", 2, more).alias("start"))
-    each = parts.withColumn("at", starts).select("doc_id", F.explode(rows).alias("x"))
+    rows = F.arrays_zip(F.slice("p", 1, more).alias("prior"), F.slice("p", 2, more).alias("here"))
+    each = parts.withColumn("uid", F.monotonically_increasing_id()).select("doc_id", "uid", F.posexplode(rows).alias("at", "x"))
     cut = F.split(F.col("x.here"), "\x02", 2)
-    prior = F.translate("x.prior", "\x02", "")
-    return each.select(
+    prior = F.when(F.col("at") == 0, F.col("x.prior")).otherwise(F.translate("x.prior", "\x02", ""))
+    short = each.select(
         "doc_id",
-        F.col("x.start").cast("bigint").alias("start"),
-        (F.col("x.start") + F.length(cut[0])).cast("bigint").alias("stop"),
+        "uid",
+        "at",
+        F.length(prior).cast("bigint").alias("before_n"),
         cut[0].alias("finding"),
         F.substring(prior, -CONTEXT, CONTEXT).alias("before"),
         F.substring(cut[1], 1, CONTEXT).alias("after"),
     )
+    start = F.sum("before_n").over(Window.partitionBy("uid").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return short.withColumn("start", start).select("doc_id", "start", (F.col("start") + F.length("finding")).alias("stop"), "finding", "before", "after")
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -82,7 +81,7 @@ def with_features(found: DataFrame) -> DataFrame:
     made = {
         "length": F.log2(n),
         "changes": F.length(classes) / n,
-        "distinct": F.size(F.array_distinct(F.split(F.substring(s, 1, 4096), ""))) / F.least(n, F.lit(64)),
+        "distinct": F.size(F.array_distinct(F.split(s, ""))) / F.least(n, F.lit(64)),
         "digits": share("[0-9]"),
         "uppers": share("[A-Z]"),
         "lowers": share("[a-z]"),
