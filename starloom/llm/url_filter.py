@@ -3,18 +3,20 @@
 The list: a rule is a host and a path; it fits that host and its subdomains if the url's path starts with the rule's. The longest rule that
 fits wins (by host, then path; allow before block on a tie).
 
-The method: a URL is a set of tokens (host labels and their parts, path segments, file extension, query keys, each with its place). Spark's FP-growth mines
-frequent combinations over labelled URLs, each basket holding its label as one more item. Rules tokens -> label need `min_confidence` and
+The method: a URL is a set of tokens (host labels and their parts, path segments, file extension, query keys and words of their values, each with its place). Spark's
+FP-growth mines frequent combinations over labelled URLs, each basket holding its label as one more item. Rules tokens -> label need `min_confidence` and
 `min_support`, and a rule is dropped if one of its subsets promises as much. They are matched by an inverted index: each token
 lists the rules it occurs in, and a rule fires when all of its tokens were met. The most confident rule that fires decides (then more
 support, then the rule's text); URLs that fire no rule get `default`.
 
-Labels: any labelled URLs (url, verdict), all of them; without some, `seeded_urls` makes a set from the words of unwanted and ordinary sites, in
-which domains, languages and numbers say nothing. (URLs that the list judges would teach the list's own host and path, and no more.) Frequent
-items number at most tokens a URL / support and itemsets have at most `max_items` tokens, so rules stay few; their number is
+Labels: any labelled URLs (url, verdict), all of them. The tables hold none (pages of unwanted hosts read like all others, and URLs that the list judges would
+teach the list's own host and path), so without some, `example_urls` makes a set of example sites, in which most words stand in unwanted and in ordinary
+names alike (a spam farm and a dairy farm, cheap pills and cheap flights), so that combinations decide, not words. Subdomains, domains, languages and numbers say nothing.
+Frequent items number at most tokens a URL / support and itemsets have at most `max_items` tokens, so rules stay few; their number is
 checked before they are broadcast, and beyond `MAX_RULES` mining fails with the remedy (a higher support).
 
-A null url, or one without "://", has an empty host and path, no tokens, and the default verdict. Repeated URLs all get the same result.
+A null url, or one without "://", has an empty host and path, no tokens, and the default verdict. Repeated URLs all get the same result. An empty table gives an empty one.
+Other columns stay, whatever their names; only host, path, rule, verdict and mined are replaced.
 """
 
 from __future__ import annotations
@@ -34,19 +36,29 @@ ALLOW, BLOCK = "allow", "block"
 #: (host, path, verdict) of the production list.
 LISTED = (("net", "/", BLOCK), ("example.net", "/en/", ALLOW), ("example.com", "/de/", BLOCK), ("org", "/fr/", ALLOW))
 MAX_RULES = 20_000
-# Words in the names of sites that corpora leave out, and of ordinary ones.
-SUSPECT = "adult bet betting bonus casino cheap cialis crack dating escort farm gambling hentai jackpot keygen lottery nude payday pharma pills poker porn replica sex slots spam torrent viagra warez xxx".split()
-ORDINARY = "academy archive blog books city college docs forum garden health history journal library museum music nature news recipes science shop sport travel university weather wiki".split()
-
-
-def split_url(url: Column) -> tuple[Column, Column]:
-    """(host, path): host after the first :// up to / ? # or the end, A-Z lower-cased; path from there up to ? # or the end."""
+OUT = ("host", "path", "rule", "verdict", "mined")
+# Names of example sites, each two words; unwanted ones first. Most words also stand in names of the other kind.
+UNWANTED = (
+    "casino win,casino bonus,casino online,online poker,poker cash,free bets,best bets,sports bets,free slots,cheap pills,cheap meds,buy pills,buy meds,diet pills,ads track,ads server,ads click,"
+    "click track,pixel track,spam farm,link farm,content farm,click farm,spam link,adult x,adult video,adult dating,hot dating,sex video,sex chat,free porn,porn video,payday loan,fast loan,"
+    "cash loan,crack keygen,free crack,free keygen,replica watch,replica bags,lottery win,prize win,win cash,escort girls"
+).split(",")
+ORDINARY = (
+    "casino history,online library,online news,poker rules,free library,free press,free software,best recipes,sports news,sports club,cheap flights,cheap hotels,buy local,diet advice,ads museum,"
+    "race track,sound track,rail track,click beetle,pixel art,dairy farm,wind farm,organic farm,farm shop,content design,link editor,spam filter,adult education,adult learning,x rays,video art,"
+    "hot springs,sex education,chat club,loan library,fast train,cash book,crack climbing,watch maker,old bags,lottery history,prize garden,win win,girls school,garden server,bonus track,school meds,slots design"
+).split(",")
+
+
+def split_url(url: Column) -> tuple[Column, Column, Column]:
+    """(host, path, query): host after the first :// up to / ? # or the end, A-Z lower-cased; path from there up to ? # or the end; query from ? up to #."""
     at = F.instr(url, "://")
     rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
     rest = F.coalesce(rest, F.lit(""))
     host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
+    query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path, query
 
 
 def listed(host: Column, path: Column, rules=LISTED) -> tuple[Column, Column]:
@@ -58,7 +70,7 @@ def listed(host: Column, path: Column, rules=LISTED) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def tokens(host: str, path: str) -> list[str]:
+def tokens(host: str, path: str, query: str = "") -> list[str]:
     """Distinct tokens of a URL, each tagged by its place; numbers count by their length alone."""
     out = []
     labels = [x for x in host.split(":")[0].split(".") if x]
@@ -73,16 +85,20 @@ def tokens(host: str, path: str) -> list[str]:
         out.append(f"path{min(i, 2)}=" + (f"#{len(stem)}" if stem.isdigit() else stem.lower()))
         out += [f"ext={end.lower()}"] if end else []
         out += [f"word={w}" for w in re.split(r"[^a-z]+", stem.lower()) if len(w) > 2]
+    for part in query.split("&"):
+        key, _, value = part.partition("=")
+        out += [f"query={key.lower()}"] if key else []
+        out += [f"word={w}" for w in re.split(r"[^a-z]+", value.lower()) if len(w) > 2]
     return sorted(set(out))
 
 
-def _baskets(hosts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for host, path in hosts:
-        yield pd.Series([tokens(h, p) for h, p in zip(host, path, strict=True)], dtype=object)
+def _baskets(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for host, path, query in parts:
+        yield pd.Series([tokens(h, p, q) for h, p, q in zip(host, path, query, strict=True)], dtype=object)
 
 
-def basket(host: Column, path: Column) -> Column:
-    return F.pandas_udf(_baskets, "array<string>")(host, path)
+def basket(host: Column, path: Column, query: Column) -> Column:
+    return F.pandas_udf(_baskets, "array<string>")(host, path, query)
 
 
 @dataclass(frozen=True)
@@ -148,37 +164,40 @@ class RuleIndex:
         return self.rules[min(fired)] if fired else None
 
 
-def seeded_urls(spark: SparkSession) -> DataFrame:
-    """Labelled URLs (url, verdict): SUSPECT and ORDINARY words as host or path, over the same domains, languages and numbers."""
+def example_urls(spark: SparkSession) -> DataFrame:
+    """Labelled URLs (url, verdict): the example sites under changing subdomains, domains, languages and numbers; the two words in the host, or the second in the path."""
     rows = []
-    plain = "the-daily", "page", "old-town", "site"
-    for words, verdict in ((SUSPECT, BLOCK), (ORDINARY, ALLOW)):
-        for i, w in enumerate(words):
-            for j, name in enumerate((f"{w}-{plain[i % 4]}", f"{plain[i % 3]}-{w}", w, plain[i % 4])):
-                for k, host in enumerate((f"www.{name}.example.com", f"{name}.example.net", f"m.{name}.example.org")):
-                    rows.append((f"https://{host}/{('en', 'de', 'fr', 'es')[(i + j + k) % 4]}/{w + '/' if j == 3 else ''}{i * 7 + k}", verdict))
+    for names, verdict in ((UNWANTED, BLOCK), (ORDINARY, ALLOW)):
+        for i, name in enumerate(names):
+            a, b = name.split()
+            for j, host in enumerate((f"{a}-{b}", f"{b}-{a}", f"{a}-{b}-site", f"the-{a}", f"{a}-{b}")):
+                under = ("", "www.", "m.", "blog.")[(i + j) % 4]
+                end = ("", ".html", "/", "?page=2&ref=x", "?utm_source=feed", "#top")[(i + 2 * j) % 6]
+                path = f"{('en', 'de', 'fr', 'es')[(i + j) % 4]}/{f'{b}/' if j == 3 else ''}{i * 7 + j}"
+                rows.append((f"https://{under}{host}.example.{('com', 'net', 'org')[(i + j) % 3]}/{path}{end}", verdict))
     return spark.createDataFrame(rows, "url string, verdict string")
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules=LISTED, default: str = ALLOW, min_support: float = 0.005, min_confidence: float = 0.9) -> DataFrame:
     """All rows and columns with host, path, rule, verdict, mined (the association rule that decided, if one did); such input columns are replaced."""
-    arrow_batches(pages.sparkSession, 5000)
-    host, path = split_url(F.col("url"))
-    out = without(pages, "host", "path", "rule", "verdict", "mined").withColumn("host", host).withColumn("path", path)
-    rule, verdict = listed(F.col("host"), F.col("path"), rules)
-    out = out.withColumn("rule", rule).withColumn("verdict", verdict)
-    labelled = seeded_urls(pages.sparkSession) if labelled is None else labelled
+    spark = pages.sparkSession
+    arrow_batches(spark, 5000)
+    labelled = example_urls(spark) if labelled is None else labelled
     found = mine(labelled.select(basket(*split_url(F.col("url"))).alias("tokens"), "verdict"), min_support, min_confidence)
-    sent = pages.sparkSession.sparkContext.broadcast(found)
+    sent = spark.sparkContext.broadcast(found)
     made: list[RuleIndex] = []
 
-    def decide(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def decide(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         if not made:
             made.append(RuleIndex(sent.value))
-        for hosts, paths in batches:
-            hits = [made[0].first(tokens(h, p)) for h, p in zip(hosts, paths, strict=True)]
+        for parts in batches:
+            hits = [made[0].first(tokens(h, p, q)) for h, p, q in zip(*parts, strict=True)]
             yield pd.DataFrame({"verdict": [r.verdict if r else default for r in hits], "mined": [r.text if r else None for r in hits]})
 
-    out = out.withColumn("_m", F.pandas_udf(decide, "struct<verdict string, mined string>")("host", "path"))
-    out = out.withColumn("mined", F.when(F.col("verdict").isNull(), F.col("_m.mined")))
-    return out.withColumn("verdict", F.coalesce("verdict", "_m.verdict")).drop("_m")
+    host, path, query = split_url(F.col("row.url"))
+    kept = without(pages, *OUT).select(F.struct("*").alias("row"))
+    kept = kept.select("row", host.alias("host"), path.alias("path"), query.alias("query"))
+    rule, verdict = listed(F.col("host"), F.col("path"), rules)
+    out = kept.select("*", rule.alias("rule"), verdict.alias("listed"), F.pandas_udf(decide, "struct<verdict string, mined string>")("host", "path", "query").alias("by_rules"))
+    mined = F.when(F.col("listed").isNull(), F.col("by_rules.mined"))
+    return out.select("row.*", "host", "path", "rule", F.coalesce("listed", "by_rules.verdict").alias("verdict"), mined.alias("mined"))
