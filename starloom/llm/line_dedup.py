@@ -22,8 +22,10 @@ from .common import materialise, text_key, without
 OUT = ("n_lines", "n_removed")
 WIDTH = 3
 LEAST = 80
-#: Zero-width: where a unit ends.
+#: What ends a unit, and the same as an expression for texts that hold the byte that else marks the ends.
+ENDS = ("\n", *(mark + " " for mark in ".!?,;:"), "。", "！", "？")
 CUT = r"(?<=\n)|(?<=[.!?,;:] )|(?<=[。！？])"
+MARK = "\x01"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -32,21 +34,27 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _units(text: Column) -> Column:
-    return F.split(text, CUT, -1)
+    """A text's units with what ends them: marks are set by plain search, which is twice as fast as an expression."""
+    marked = text
+    for end in ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    return F.when(F.instr(text, MARK) > 0, F.split(text, CUT, -1)).otherwise(F.split(marked, MARK, -1))
 
 
 def _windows(units: Column) -> Column:
     """array<struct<h1, h2, p0, p2>>: a text's windows with their first and last position."""
 
-    def keyed(unit: Column, i: Column) -> Column:
-        begins = (i == 0) | F.get(units, i - 1).endswith("\n")
-        ends = (i == F.size(units) - 1) | unit.endswith("\n")
-        parts = lambda k: F.struct(i.alias("p"), F.length(k).alias("n"), (begins & ends).alias("whole"), F.xxhash64(k).alias("a"), F.xxhash64(F.lit(WIDTH), k).alias("b"))
-        return _let(F.trim(unit, F.lit(" \t\r\n")), parts)
+    def known(keys: Column) -> Column:
+        def one(k: Column, i: Column) -> Column:
+            begins = (i == 0) | F.get(units, i - 1).endswith("\n")
+            ends = (i == F.size(units) - 1) | F.get(units, i).endswith("\n")
+            return F.struct(i.alias("p"), F.length(k).alias("n"), (begins & ends).alias("whole"), F.xxhash64(k).alias("a"), F.xxhash64(F.lit(WIDTH), k).alias("b"))
+
+        return F.filter(F.transform(keys, one), lambda x: x["n"] > 0)
 
     def at(full: Column, i: Column) -> Column:
         x = [F.get(full, i + k) for k in range(WIDTH)]
-        valid = (x[0]["whole"] & x[1]["whole"] & x[2]["whole"]) | (x[0]["n"] + x[1]["n"] + x[2]["n"] >= LEAST)
+        valid = (x[0]["n"] + x[1]["n"] + x[2]["n"] >= LEAST) | (x[0]["whole"] & x[1]["whole"] & x[2]["whole"])
         found = F.struct(F.xxhash64(*[y["a"] for y in x]).alias("h1"), F.xxhash64(*[y["b"] for y in x]).alias("h2"), x[0]["p"].alias("p0"), x[2]["p"].alias("p2"))
         return F.when(valid, found)
 
@@ -54,7 +62,7 @@ def _windows(units: Column) -> Column:
         places = F.when(F.size(full) >= WIDTH, F.sequence(F.lit(0), F.size(full) - WIDTH))
         return F.array_compact(F.transform(places, lambda i: at(full, i)))
 
-    return _let(F.filter(F.transform(units, keyed), lambda x: x["n"] > 0), of)
+    return _let(_let(F.transform(units, lambda u: F.trim(u, F.lit(" \t\r\n"))), known), of)
 
 
 def windows(docs: DataFrame) -> DataFrame:
@@ -79,7 +87,7 @@ def covered(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """All rows with the shortened text, n_lines (units before) and n_removed."""
+    """All rows with the shortened text, n_lines (before, by line feeds) and n_removed (units)."""
     kept = without(docs, *OUT)
     rows = kept.select(F.struct("*").alias("row"))
     rows = rows.select("row", F.col("row.doc_id").alias("d"), F.col("row.text").alias("text"), text_key(F.col("row.text")).alias("t"))
@@ -92,7 +100,8 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     text = F.when(F.col("covered").isNull(), F.col("text")).otherwise(_let(_units(F.col("text")), shorter))
     out = {c: F.col("row")[c] for c in kept.columns} | {"text": text}
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(_units(F.col("text")))).cast("bigint")
+    feeds = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(feeds + 1).cast("bigint")
     n_removed = F.when(F.col("covered").isNull(), 0).otherwise(F.size("covered")).cast("bigint")
     return joined.select(*[out[c].alias(c) for c in kept.columns], n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
@@ -113,9 +122,10 @@ WITH u AS (
 ), c AS (
   SELECT DISTINCT doc_id, unnest(range(p0, p2 + 1)) AS pos FROM f WHERE nth > 1
 ), r AS (
-  SELECT l.doc_id, string_agg(line, '' ORDER BY l.pos) FILTER (c.pos IS NULL) AS text, count(*) AS n_lines, count(c.pos) AS n_removed
+  SELECT l.doc_id, string_agg(line, '' ORDER BY l.pos) FILTER (c.pos IS NULL) AS text, count(c.pos) AS n_removed
   FROM l LEFT JOIN c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id
 )
-SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text, 
+  CASE WHEN d.text IS NULL THEN 0 ELSE length(d.text) - length(replace(d.text, chr(10), '')) + 1 END::BIGINT AS n_lines, coalesce(n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id
 """

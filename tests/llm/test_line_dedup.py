@@ -102,3 +102,17 @@ def test_long_text_is_linear(spark):
     text = "".join(f"line number {i} of many lines that a text has, and then more of them.\n" for i in range(100_000))
     got = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
     assert {r["doc_id"]: len(r["text"]) for r in line_dedup.dedup(got).collect()} == {1: len(text), 2: 0}
+
+
+def test_texts_with_the_mark(spark):
+    """The byte that marks ends inside the operator is a character like any other."""
+    passage = "some words that are long enough for this, and for that; and then. "
+    rows = [(1, f"a\x01b. {passage * 3}end"), (2, f"x. y\x01, {passage * 3}z"), (3, "q\x01\nq\x01\nq\x01\nq\x01\nq\x01\n")]
+    assert dict(run(spark, rows)) == {i: plain(rows)[i, t] for i, t in rows}
+
+
+def test_every_column_stays(docs):
+    names = "row d t gone_d gone_t covered h1 h2 p0 p2 first known _l _t _t2 _d w p".split()
+    more = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    out = line_dedup.dedup(more)
+    assert out.columns == [*more.columns, *line_dedup.OUT] and all(r[n] == n for r in out.collect() for n in names)
