@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,32 +38,16 @@ def vectors(tables: GraphTables, config: PipelineConfig = PipelineConfig(), want
     """(idx, embedding), trained on mutual edges and, for nodes with fewer than `wanted` of them, on followers of followees."""
     low = materialise(graph.low_mutual_nodes(tables.index, tables.mutual, wanted).select("node", "deficit"), "low")
 
-    def extra(epoch: int) -> DataFrame:
-        return graph.sampled_two_hop(low, tables.out_slots, tables.in_slots, config.seed + 10 * epoch).select(F.col("a").alias("source"), F.col("b").alias("target"))
+    found, _ = embed.train(tables.mutual, tables.index.count(), config, embed.TwoHop(low, tables.out_slots, tables.in_slots))
+    return materialise(found, "vectors")
 
-    w, _ = embed.train(tables.mutual, tables.index.count(), config, extra)
-    return materialise(embed.as_table(tables.index.sparkSession, w), "vectors")
 
-
-def positions(points: DataFrame, config: PipelineConfig = PipelineConfig(), approximate_above: int = 100_000) -> DataFrame:
-    """(idx, x, y) of (idx, embedding), positions 0 .. n - 1: neighbours, fuzzy set, layout from the principal plane."""
-    n = points.count()
-    near = embed.knn_exact(points, config.n_neighbors) if n <= approximate_above else embed.knn_approximate(points, config.n_neighbors)
-    fuzzy = embed.fuzzy_union(embed.memberships(embed.as_arrays(near)))
-    mean, axes = embed.principal_plane(points)
-    sent = points.sparkSession.sparkContext.broadcast((mean, axes))
-
-    def project(batches):
-        for x in batches:
-            if len(x):
-                p = (np.stack(x["embedding"].to_numpy()) - sent.value[0]) @ sent.value[1]
-                yield x[["idx"]].assign(x=p[:, 0], y=p[:, 1])
-
-    start = points.mapInPandas(project, "idx long, x double, y double").orderBy("idx").toPandas()  # 16 bytes a node; layout() checks its bound
-    xy = start[["x", "y"]].to_numpy()
+def positions(points: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """(idx, x, y) of (idx, embedding), positions 0 .. n - 1: neighbours (exact, unless the settings ask for approximate ones), fuzzy set, layout from the principal plane."""
+    neighbours = embed.knn_approximate if config.approximate_neighbors else embed.knn_exact
+    fuzzy = embed.fuzzy_union(embed.memberships(embed.as_arrays(neighbours(points, config.n_neighbors))))
     a, b = embed.curve(config.spread, config.min_dist)
-    start[["x", "y"]] = embed.layout(fuzzy, 10 * xy / (np.abs(xy).max() or 1), a, b, config.layout_epochs, seed=config.seed)
-    return materialise(points.sparkSession.createDataFrame(start, "idx long, x double, y double"), "positions")
+    return materialise(embed.layout(fuzzy, embed.projected(points), a, b, config.layout_epochs, seed=config.seed), "positions")
 
 
 def build_map(nodes: DataFrame, edges: DataFrame, config: PipelineConfig = PipelineConfig()) -> dict[str, DataFrame]:
