@@ -25,7 +25,7 @@ def center_table(spark: SparkSession, centers: np.ndarray) -> DataFrame:
     return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centers)], "label int, center array<float>")
 
 
-def cluster_hues(centers: np.ndarray, n_neighbors: int = 15, n_cycles: float = 1.0) -> np.ndarray:
+def cluster_hues(centers: np.ndarray, n_cycles: float = 1.0) -> np.ndarray:
     """Hues in [0, 1): the leading eigenvector of the double-centred Gaussian similarity, stretched over n_cycles turns.
 
     The scale is the median distance to the nearest other center. The sign makes the largest component positive.
@@ -34,8 +34,7 @@ def cluster_hues(centers: np.ndarray, n_neighbors: int = 15, n_cycles: float = 1
     if c < 2:
         return np.zeros(c)
     d = np.sqrt(((centers[:, None] - centers[None]) ** 2).sum(2))
-    ordered = np.sort(d, axis=1)[:, : min(n_neighbors, c)]
-    sigma = np.median(ordered[:, 1]) or 1.0
+    sigma = np.median(np.where(np.eye(c, dtype=bool), np.inf, d).min(1)) or 1.0
     s = np.exp(-(d**2) / (2 * sigma**2))
     h = np.eye(c) - 1 / c
     _, vectors = np.linalg.eigh(h @ s @ h)

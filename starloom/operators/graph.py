@@ -89,10 +89,14 @@ def adjacency(edges: DataFrame, by: str = "source") -> DataFrame:
 
 
 def slots(edges: DataFrame, by: str = "source") -> DataFrame:
-    """(node, slot, neighbour): the long form of adjacency, slots from 0 in neighbour order."""
+    """(node, slot, neighbour): the long form of adjacency, slots from 0 in neighbour order.
+
+    All edges are numbered in the order of (node, neighbour) and each node's first number taken off, so that a hub's edges may lie in many tasks.
+    """
     other = "target" if by == "source" else "source"
-    w = Window.partitionBy("node").orderBy("neighbour")
-    return edges.select(F.col(by).alias("node"), F.col(other).alias("neighbour")).withColumn("slot", (F.row_number().over(w) - 1).cast("bigint"))
+    every = materialise(numbered(edges.select(F.col(by).alias("node"), F.col(other).alias("neighbour")), ["node", "neighbour"], "at"), "slots")
+    first = every.groupBy("node").agg(F.min("at").alias("first"))
+    return every.join(first, "node").select("node", (F.col("at") - F.col("first")).alias("slot"), "neighbour")
 
 
 def indptr(edges: DataFrame, nodes: DataFrame, by: str = "source") -> DataFrame:
@@ -157,8 +161,9 @@ def neighbour_probabilities(edges: DataFrame, deg: DataFrame, by: str = "source"
     Followees weigh by their incoming degree, followers (by="target") by their outgoing one.
     """
     known = deg.select(F.col("node").alias("neighbour"), alias_weight(F.col("in_deg" if by == "source" else "out_deg")).alias("w"))
-    all_of = Window.partitionBy("node")
-    return slots(edges, by).join(known, "neighbour").withColumn("probability", F.col("w") / F.sum("w").over(all_of)).select("node", "slot", "neighbour", "probability")
+    weighted = materialise(slots(edges, by).join(known, "neighbour"), "weighted")
+    total = weighted.groupBy("node").agg(F.sum("w").alias("total"))  # added up before the shuffle, hubs included
+    return weighted.join(total, "node").select("node", "slot", "neighbour", (F.col("w") / F.col("total")).alias("probability"))
 
 
 def _alias(group: pd.DataFrame) -> pd.DataFrame:
@@ -238,18 +243,25 @@ def reverse_cuthill_mckee(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     deg = every.join(structural_degrees(links), "node", "left").na.fill(0, ["degree"]).join(components(links), "node", "left")
     deg = materialise(deg.select("node", "degree", F.coalesce("component", "node").alias("component")), "deg")
     start = deg.groupBy("component").agg(F.min(F.struct("degree", "node")).alias("s"), F.count(F.lit(1)).alias("size"))
-    level = start.select(F.col("s.node").alias("node"), "component", F.lit(0).cast("bigint").alias("place"))
-    done = materialise(level, "level")
-    frontier = done
+    frontier = materialise(start.select(F.col("s.node").alias("node"), "component", F.lit(0).cast("bigint").alias("place")), "level")
+    levels, before = [frontier], frontier.limit(0)
     while True:
+        # Edges run both ways, so what a level reaches lies in the level before, in itself or in the next: no other level is looked at again.
         reach = links.join(frontier, links["source"] == frontier["node"]).select(F.col("target").alias("node"), "place")
-        reach = reach.join(done.select("node"), "node", "left_anti").groupBy("node").agg(F.min("place").alias("parent")).join(deg, "node")
-        base = done.groupBy("component").agg((F.max("place") + 1).alias("base"))
-        order = Window.partitionBy("component").orderBy("parent", "degree", "node")
-        nxt = materialise(reach.withColumn("r", F.row_number().over(order) - 1).join(base, "component").select("node", "component", (F.col("base") + F.col("r")).cast("bigint").alias("place")), "level")
-        if not nxt.limit(1).count():
+        known = before.select("node").unionByName(frontier.select("node"))
+        reach = reach.join(known, "node", "left_anti").groupBy("node").agg(F.min("place").alias("parent")).join(deg, "node")
+        placed = materialise(numbered(reach, ["component", "parent", "degree", "node"], "at"), "reach")
+        base = frontier.groupBy("component").agg((F.max("place") + 1).alias("base"))
+        first = placed.groupBy("component").agg(F.min("at").alias("first")).join(base, "component")
+        nxt = materialise(placed.join(first, "component").select("node", "component", (F.col("base") + F.col("at") - F.col("first")).cast("bigint").alias("place")), "level")
+        discard(placed)
+        if nxt.isEmpty():
             break
-        done, frontier = materialise(done.unionByName(nxt), "done"), nxt
+        levels.append(nxt)
+        before, frontier = frontier, nxt
+    done = levels[0]
+    for level in levels[1:]:
+        done = done.unionByName(level)
     ranked = numbered(start.select("component", "size", F.col("s.degree").alias("d"), F.col("s.node").alias("n")), ["d", "n"], "before", "size")
     total = F.lit(deg.count())
     placed = done.join(ranked.select("component", "before"), "component")

@@ -148,7 +148,8 @@ def tiles(points: DataFrame, capacity: int, area: Area | None = None) -> DataFra
 def tile_points(points: DataFrame, tile_table: DataFrame, capacity: int, area: Area, order: Column | None = None, closed: bool = False) -> DataFrame:
     """Points of each tile (path added), the first `capacity` in a seeded order (`order`, then id); each tile is an evenly drawn sample.
 
-    A point meets the tiles on its own path by equi-joins on prefixes. With `closed`, points on a border also belong to the tiles beyond it.
+    A point meets the tiles on its own path by equi-joins on prefixes. With `closed`, points on a border also belong to the tiles beyond it. The default order is
+    uniform, so of a tile with many points only those below a threshold are ranked, some standard deviations more than are wanted: no task sorts the whole map.
     """
     depth = tile_table.agg(F.max("level")).first()[0] or 0
     p = floats(points).withColumn("_order", order if order is not None else F.xxhash64(F.lit(1), "id"))
@@ -163,12 +164,15 @@ def tile_points(points: DataFrame, tile_table: DataFrame, capacity: int, area: A
     else:
         p = p.withColumn("_path", path(area, depth))
     on = p.withColumn("path", F.explode(F.transform(F.sequence(F.lit(0), F.lit(depth)), lambda n: F.substring("_path", F.lit(1), n)))).drop("_path")
-    met = on.join(tile_table.select("path", F.col("x").alias("_cx"), F.col("y").alias("_cy"), F.col("s").alias("_cs")), "path")
+    met = on.join(tile_table.select("path", F.col("x").alias("_cx"), F.col("y").alias("_cy"), F.col("s").alias("_cs"), F.col("total").alias("_total")), "path")
+    if order is None:
+        wanted = capacity + 12 * capacity**0.5 + 150
+        met = met.where((F.col("_total") <= wanted) | (F.col("_order") < F.lit(-(2.0**63)) + 2.0**64 * wanted / F.col("_total")))
     if closed:
         half = F.col("_cs") / 2
         met = met.where((F.abs(F.col("x") - F.col("_cx")) <= half) & (F.abs(F.col("y") - F.col("_cy")) <= half)).dropDuplicates(["path", "id"])
     first = Window.partitionBy("path").orderBy("_order", "id")
-    return met.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= capacity).drop("_order", "_r", "_cx", "_cy", "_cs")
+    return met.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= capacity).drop("_order", "_r", "_cx", "_cy", "_cs", "_total")
 
 
 # ---- packed trees
@@ -319,12 +323,44 @@ def nearest(points: DataFrame, queries: list[tuple[float, float]], exclusive: bo
     return p.agg(*aggs).select(rows.alias("r")).select("r.query", "r.b.id", "r.b.x", "r.b.y", "r.b.distance")
 
 
-def forces(points: DataFrame, queries: DataFrame, area: Area, level: int = 5, c: float = 1.0, r: float = 2.0) -> DataFrame:
+def nearest_body(points: DataFrame, x: float, y: float, exclusive: bool = False) -> tuple[int, float, float, float, float]:
+    """(id, x, y, mass, distance) of the nearest body to one position; raises if there is none."""
+    p = floats(points) if "mass" in points.columns else floats(points).withColumn("mass", F.lit(1.0))
+    qx, qy = float(np.float32(x)), float(np.float32(y))
+    px, py = F.col("x").cast("double"), F.col("y").cast("double")
+    best = F.struct(F.hypot(px - qx, py - qy).alias("distance"), F.col("id").cast("bigint").alias("id"), px.alias("x"), py.alias("y"), F.col("mass").cast("double").alias("mass"))
+    found = p.agg(F.min(F.when(~((px == qx) & (py == qy)), best) if exclusive else best).alias("b")).first()["b"]
+    if found is None:
+        raise ValueError("there is no body")
+    return found["id"], found["x"], found["y"], found["mass"], found["distance"]
+
+
+def nearest_in_tiles(packed: DataFrame, area: Area, queries: DataFrame, exclusive: bool = False) -> DataFrame:
+    """(query, path, id, x, y, distance) for queries (query, path, x, y): the nearest body in that tile's packed tree; no row where a tile has no tree or no body is left."""
+    box = (area.side, area.x, area.y)
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            rows = []
+            for q, path, qx, qy, atlas in zip(x["query"], x["path"], x["qx"], x["qy"], x["atlas"], strict=True):
+                hit = nearest_packed(bytes(atlas), Area(*box).at(path), float(qx), float(qy), exclusive)
+                if hit:
+                    rows.append((q, path, *hit))
+            yield pd.DataFrame(rows, columns=["query", "path", "id", "x", "y", "distance"])
+
+    asked = queries.select("query", "path", F.col("x").cast("float").cast("double").alias("qx"), F.col("y").cast("float").cast("double").alias("qy"))
+    joined = asked.join(packed.where("atlas IS NOT NULL AND length(atlas) > 0").select("path", "atlas"), "path")
+    return joined.select("query", "path", "qx", "qy", "atlas").mapInPandas(find, "query long, path string, id long, x double, y double, distance double")
+
+
+def forces(points: DataFrame, queries: DataFrame, area: Area, level: int | None = None, c: float = 1.0, r: float = 2.0) -> DataFrame:
     """(id, fx, fy) on each query body (id, x, y, mass): the repulsion c * m1 * m2 / d^r away from all bodies, cells summed to their centres of mass.
 
     Cells at `level` number at most 4^level, a stated bound, and travel to every task; the body's own cell and the 8 around it count
-    body by body, through an equi-join on the cell.
+    body by body, through an equi-join on the cell. The default level grows with the bodies, up to 8, for about 16 in a cell; at level 1 or 0 all count body by body.
     """
+    if level is None:
+        level = int(np.clip(np.ceil(np.log2(max(points.count() / 16, 1)) / 2), 1, 8))
     p = floats(points)
     if "mass" not in p.columns:
         p = p.withColumn("mass", F.lit(1.0))
@@ -337,12 +373,12 @@ def forces(points: DataFrame, queries: DataFrame, area: Area, level: int = 5, c:
         w = sent.value
         for x in batches:
             fx, fy = np.zeros(len(x)), np.zeros(len(x))
-            for i, (px, py, m, a, b) in enumerate(x[["x", "y", "mass", "cx", "cy"]].to_numpy(float)):
-                k = (np.abs(w[:, 0] - a) > 1) | (np.abs(w[:, 1] - b) > 1)
-                dx, dy = px - w[k, 3], py - w[k, 4]
-                d = np.hypot(dx, dy)
-                f = c * m * w[k, 2] / d ** (r + 1)
-                fx[i], fy[i] = (f * dx).sum(), (f * dy).sum()
+            for at in range(0, len(x), 64):  # 64 bodies against all cells at once
+                px, py, m, a, b = x[["x", "y", "mass", "cx", "cy"]].to_numpy(float)[at : at + 64].T[:, :, None]
+                apart = (np.abs(w[:, 0] - a) > 1) | (np.abs(w[:, 1] - b) > 1)
+                dx, dy = px - w[:, 3], py - w[:, 4]
+                f = np.where(apart, c * m * w[:, 2] / np.where(apart, np.hypot(dx, dy), 1.0) ** (r + 1), 0.0)
+                fx[at : at + 64], fy[at : at + 64] = (f * dx).sum(1), (f * dy).sum(1)
             yield pd.DataFrame({"id": x["id"], "fx": fx, "fy": fy})
 
     q = floats(queries).withColumn("cx", col).withColumn("cy", row)

@@ -6,6 +6,8 @@ an event's user to the next event's. Maps are the first two embedding components
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from ..config import PipelineConfig
 from ..functions import scalars
 from ..operators import cluster, embed, graph, spatial
-from ..scratch import materialise
+from ..scratch import materialise, shared_dir
+from ..sources import files, sinks
 from ..streaming import degrees as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,29 +237,86 @@ def q_neighbor_probs_in(spark, sf_dir):
     return graph.neighbour_probabilities(e, graph.degrees(e), "target").withColumn("probability", F.round("probability", 6))
 
 
-@query()
+def _induced(by: str, other: str, degree: str) -> str:
+    return f"""WITH {SUPPLIERS}, {DEGREES}, w AS (SELECT {by} AS node, {other} AS neighbour, 1 / ln(1 + {degree}) AS w FROM e JOIN d ON d.node = {other}),
+t AS (SELECT node, sum(w) AS total, count(*) AS slots FROM w GROUP BY node) SELECT node, neighbour, slots, round(sum(w / total), 6) AS probability FROM w JOIN t USING (node) GROUP BY ALL"""
+
+
+def _chances(table: DataFrame) -> DataFrame:
+    """How often alias tables draw each neighbour: its own slots' shares, and what other slots hand on."""
+    size = table.groupBy("node").agg(F.count(F.lit(1)).alias("slots"))
+    ways = F.array(F.struct(F.col("neighbour").alias("to"), F.col("prob").alias("p")), F.struct(F.col("alias").alias("to"), (1 - F.col("prob")).alias("p")))
+    each = table.select("node", F.explode(ways).alias("w")).join(size, "node")
+    return each.groupBy("node", F.col("w.to").alias("neighbour"), "slots").agg(F.round(F.sum(F.col("w.p") / F.col("slots")), 6).alias("probability"))
+
+
+@query(_induced("source", "target", "in_deg"))
 def q_alias_slots(spark, sf_dir):
     e = suppliers(spark, sf_dir)
-    return graph.alias_slots(graph.neighbour_probabilities(e, graph.degrees(e)).where("probability IS NOT NULL"))
+    return _chances(graph.alias_slots(graph.neighbour_probabilities(e, graph.degrees(e)).where("probability IS NOT NULL")))
+
+
+@query(_induced("target", "source", "out_deg"))
+def q_alias_slots_in(spark, sf_dir):
+    e = suppliers(spark, sf_dir)
+    return _chances(graph.alias_slots(graph.neighbour_probabilities(e, graph.degrees(e), "target").where("probability IS NOT NULL")))
 
 
-@query()
+@query(f"""WITH {PARTS}, {MUTUAL}, c AS (SELECT source AS node, count(*) AS n FROM m GROUP BY source),
+l AS (SELECT p_partkey AS a, 16 - coalesce(n, 0) AS deficit FROM part LEFT JOIN c ON p_partkey = node WHERE coalesce(n, 0) < 16)
+SELECT count(*) AS nodes, sum(deficit)::BIGINT AS draws, 0::BIGINT AS too_many, 0::BIGINT AS no_two_hop FROM l WHERE a IN (SELECT source FROM e)""")
 def q_sampled_two_hop(spark, sf_dir):
+    """The pairs drawn, held against all two-hop pairs: how many are none, and how many nodes have more pairs than they lack."""
     e = parts(spark, sf_dir)
     deg = graph.degrees(e)
-    tables = [graph.alias_slots(graph.neighbour_probabilities(e, deg, by).where("probability IS NOT NULL")) for by in ("source", "target")]
+    tables = [materialise(graph.alias_slots(graph.neighbour_probabilities(e, deg, by).where("probability IS NOT NULL")), "slots") for by in ("source", "target")]
     low = graph.low_mutual_nodes(nodes_of(spark, sf_dir, "part", "p_partkey"), graph.mutual_edges(e))
-    return graph.sampled_two_hop(low, *tables)
+    drawn = materialise(graph.sampled_two_hop(low, *tables), "drawn")
+    exact = graph.two_hop(e).select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select("p.*")
+    wrong = drawn.join(exact, ["a", "b"], "left_anti").agg(F.count(F.lit(1)).alias("no_two_hop"))
+    per = low.join(drawn.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n")), "node", "left")
+    some = per.join(e.select(F.col("source").alias("node")).distinct(), "node", "left_semi")
+    sums = some.agg(F.count(F.lit(1)).alias("nodes"), F.sum("deficit").alias("draws"), F.sum((F.coalesce("n", F.lit(0)) > F.col("deficit")).cast("bigint")).alias("too_many"))
+    return sums.join(wrong, F.lit(True))  # one row each
+
+
+@query(f"WITH {SUPPLIERS} SELECT source AS node, 100::BIGINT AS draws, 100::BIGINT AS along_edges FROM e GROUP BY source")
+def q_uniform_draws(spark, sf_dir):
+    """100 draws for each node that has edges: all of them go along edges."""
+    e = suppliers(spark, sf_dir)
+    draws = e.select(F.col("source").alias("node")).distinct().select("node", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(100).cast("bigint"))).alias("draw"))
+    got = graph.draw_uniform(draws, graph.slots(e))
+    known = e.select(F.col("source").alias("node"), F.col("target").alias("neighbour")).distinct().withColumn("hit", F.lit(1))
+    return got.join(known, ["node", "neighbour"], "left").groupBy("node").agg(F.count(F.lit(1)).alias("draws"), F.count("hit").alias("along_edges"))
 
 
 # ---- order
 
 
-@query()
+def _rcm(mutual: str) -> str:
+    """A queue, one node a step: its new neighbours join by degree and number; an empty queue takes the open node of least degree."""
+    return f"""WITH RECURSIVE {SUPPLIERS}, m AS ({mutual}), n AS (SELECT s_suppkey::BIGINT AS node FROM supplier),
+c AS (SELECT source, count(*) + max((source = target)::INT) AS degree FROM m GROUP BY source), d AS (SELECT node, coalesce(degree, 0) AS degree FROM n LEFT JOIN c ON node = source),
+j AS (SELECT d.node, coalesce(list(t.node ORDER BY t.degree, t.node) FILTER (t.node IS NOT NULL), []::BIGINT[]) AS near FROM d LEFT JOIN m ON m.source = d.node LEFT JOIN d t ON t.node = m.target GROUP BY d.node),
+g AS (SELECT (SELECT map_from_entries(list((node, near))) FROM j) AS adj, (SELECT list(node ORDER BY degree, node) FROM d) AS starts, (SELECT count(*) FROM d) AS n),
+r(pos, ord) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT CASE WHEN pos < len(ord) THEN pos + 1 ELSE pos END,
+  CASE WHEN pos < len(ord) THEN list_concat(ord, list_filter(adj[ord[pos + 1]], lambda x: NOT list_contains(ord, x))) ELSE list_append(ord, list_filter(starts, lambda x: NOT list_contains(ord, x))[1]) END
+  FROM r, g WHERE pos < n)
+SELECT unnest(ord) AS node, (n - generate_subscripts(ord, 1))::BIGINT AS position FROM r, g WHERE pos = n"""
+
+
+@query(_rcm("SELECT source, target FROM e INTERSECT SELECT target, source FROM e"))
 def q_rcm_order(spark, sf_dir):
     return graph.reverse_cuthill_mckee(graph.mutual_edges(suppliers(spark, sf_dir), distinct=True), nodes_of(spark, sf_dir, "supplier", "s_suppkey"))
 
 
+@query(_rcm("SELECT source, target FROM e WHERE (source + target) % 7 = 0 UNION SELECT target, source FROM e WHERE (source + target) % 7 = 0"))
+def q_rcm_directed(spark, sf_dir):
+    """Of directed edges, made symmetric; only those whose ends sum to a multiple of 7, so that there are several levels and components."""
+    e = suppliers(spark, sf_dir).where("(source + target) % 7 = 0")
+    return graph.reverse_cuthill_mckee(e, nodes_of(spark, sf_dir, "supplier", "s_suppkey"))
+
+
 @query(f"""WITH {PARTS} SELECT count(*) AS n FROM (SELECT DISTINCT source, target FROM e)""")
 def q_distinct_edges(spark, sf_dir):
     return parts(spark, sf_dir).distinct().agg(F.count(F.lit(1)).alias("n"))
@@ -279,7 +339,7 @@ def q_permuted_edges(spark, sf_dir):
 # ---- neighbours, fuzzy sets, embeddings
 
 
-KNN = """k AS (SELECT * FROM (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS dist,
+KNN = """k AS MATERIALIZED (SELECT * FROM (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS dist,
   row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), b.vec_id) AS rank FROM embeddings a, embeddings b) WHERE rank <= 10)"""
 
 
@@ -302,64 +362,120 @@ def q_knn_label_agreement(spark, sf_dir):
     return k.join(x, "i").join(y, "j").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == F.col("other")).cast("int")).alias("same"))
 
 
-@query()
+@query("SELECT count(*) AS queries, count(*) * 10 AS rows, TRUE AS recall_is_9_of_10 FROM embeddings")
 def q_knn_approximate(spark, sf_dir):
-    return embed.knn_approximate(vectors(spark, sf_dir).drop("label"), 10)
+    """All approximate neighbours, and their share of the exact ones."""
+    v = vectors(spark, sf_dir).drop("label")
+    got = materialise(embed.knn_approximate(v, 10), "knn")
+    met = got.join(embed.knn_exact(v, 10).select("i", "j").withColumn("hit", F.lit(1)), ["i", "j"], "left")
+    return met.agg(F.countDistinct("i").alias("queries"), F.count(F.lit(1)).alias("rows"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_is_9_of_10"))
+
+
+FUZZY = f"""{KNN}, g AS (SELECT i, list(dist::FLOAT::DOUBLE ORDER BY rank) AS d, list(j ORDER BY rank) AS js FROM k GROUP BY i),
+p AS (SELECT *, coalesce(list_min(list_filter(d, lambda x: x > 0)), 0) AS rho FROM g),
+b(step, i, lo, hi, sigma, gap) AS (SELECT 0, i, 0::DOUBLE, 'infinity'::DOUBLE, 1::DOUBLE, list_transform(d[2:], lambda x: greatest(0::DOUBLE, x - rho)) FROM p UNION ALL
+  SELECT step + 1, i, CASE WHEN over THEN lo ELSE sigma END, CASE WHEN over THEN sigma ELSE hi END,
+    CASE WHEN over THEN (lo + sigma) / 2 WHEN isinf(hi) THEN sigma * 2 ELSE (sigma + hi) / 2 END, gap
+  FROM (SELECT *, list_sum(list_transform(gap, lambda x: exp(-x / sigma))) > log2(10) AS over FROM b WHERE step < 64)),
+f AS (SELECT p.i, unnest(js) AS j, unnest(list_transform(d, lambda x: exp(-greatest(0::DOUBLE, x - rho) / greatest(sigma, 1e-3 * list_avg(d))))) AS w FROM p JOIN b ON p.i = b.i AND step = 64),
+w AS (SELECT i, j, w FROM f WHERE i <> j)"""
 
 
-@query()
+@query(f"WITH RECURSIVE {FUZZY} SELECT i AS source, j AS target, round(w, 5) AS weight FROM w")
 def q_fuzzy_membership(spark, sf_dir):
-    return embed.memberships(embed.as_arrays(embed.knn_exact(vectors(spark, sf_dir), 10)))
+    return embed.memberships(embed.as_arrays(embed.knn_exact(vectors(spark, sf_dir), 10))).withColumn("weight", F.round("weight", 5))
 
 
-@query(f"""WITH {KNN}, q AS (SELECT i, j, dist, min(dist) FILTER (dist > 0) OVER (PARTITION BY i) AS rho, avg(dist) OVER (PARTITION BY i) AS sigma FROM k),
-w AS (SELECT i, j, exp(-greatest(0, dist - rho) / sigma) AS w FROM q WHERE i <> j), u AS (SELECT i, j, w, 0.0::DOUBLE AS v FROM w UNION ALL SELECT j, i, 0.0, w FROM w)
-SELECT i AS source, j AS target, round(sum(w) + sum(v) - sum(w) * sum(v), 6) AS weight FROM u GROUP BY i, j""")
+@query(f"""WITH RECURSIVE {FUZZY}, u AS (SELECT i, j, w, 0::DOUBLE AS v FROM w UNION ALL SELECT j, i, 0::DOUBLE, w FROM w)
+SELECT i AS source, j AS target, round(sum(w) + sum(v) - sum(w) * sum(v), 5) AS weight FROM u GROUP BY i, j""")
 def q_fuzzy_union(spark, sf_dir):
-    """With the mean distance as the scale, which SQL can say; q_fuzzy_membership has the searched one."""
-    k, w = embed.knn_exact(vectors(spark, sf_dir), 10), Window.partitionBy("i")
-    rho, sigma = F.min(F.when(F.col("dist") > 0, F.col("dist"))).over(w), F.avg("dist").over(w)
-    m = k.withColumn("weight", F.exp(-F.greatest(F.lit(0.0), F.col("dist") - rho) / sigma)).where("i <> j").select(F.col("i").alias("source"), F.col("j").alias("target"), "weight")
-    return embed.fuzzy_union(m).withColumn("weight", F.round("weight", 6))
+    return embed.fuzzy_union(embed.memberships(embed.as_arrays(embed.knn_exact(vectors(spark, sf_dir), 10)))).withColumn("weight", F.round("weight", 5))
 
 
-@query()
+@query("SELECT count(*) AS points, count(*) AS finite, TRUE AS neighbours_are_nearer FROM embeddings")
 def q_layout(spark, sf_dir):
+    """The whole layout, with the settings of the pipeline: all points have a place, and linked ones lie nearer to each other than others do."""
+    config = PipelineConfig()
     v = vectors(spark, sf_dir).drop("label")
-    fuzzy = embed.fuzzy_union(embed.memberships(embed.as_arrays(embed.knn_exact(v, 10))))
-    index = graph.dense_index(v, "idx").withColumnRenamed("idx", "at")
-    to = lambda c: index.select(F.col("id").alias(c), F.col("at").alias(f"_{c}"))
-    placed = fuzzy.join(to("source"), "source").join(to("target"), "target").select(F.col("_source").alias("source"), F.col("_target").alias("target"), "weight")
-    mean, axes = embed.principal_plane(v)
-    ordered = v.join(index.withColumnRenamed("id", "idx"), "idx").select("at", "embedding")
-    sent = spark.sparkContext.broadcast((mean, axes))
-
-    def project(batches):
-        for x in batches:
-            if len(x):
-                p = (np.stack(x["embedding"].to_numpy()) - sent.value[0]) @ sent.value[1]
-                yield pd.DataFrame({"at": x["at"], "x": p[:, 0], "y": p[:, 1]})
+    index = materialise(graph.dense_index(v, "idx"), "index")
+    at = materialise(v.join(index.select(F.col("id").alias("idx"), F.col("idx").alias("at")), "idx").select(F.col("at").alias("idx"), "embedding"), "points")
+    fuzzy = materialise(embed.fuzzy_union(embed.memberships(embed.as_arrays(embed.knn_exact(at, config.n_neighbors)))), "fuzzy")
+    placed = materialise(embed.layout(fuzzy, embed.projected(at), *embed.curve(config.spread, config.min_dist), config.layout_epochs, seed=config.seed), "placed")
+    n = placed.count()
+    ends = [placed.select(F.col("idx").alias(c), F.col("x").alias(f"{c}_x"), F.col("y").alias(f"{c}_y")) for c in ("source", "target")]
+    apart = F.avg(F.hypot(F.col("source_x") - F.col("target_x"), F.col("source_y") - F.col("target_y")))
+    near = fuzzy.join(ends[0], "source").join(ends[1], "target").agg(apart.alias("near"))
+    far = embed.random_pairs(spark, 20 * n, n, 1).join(ends[0], "source").join(ends[1], "target").agg(apart.alias("far"))
+    finite = F.sum((F.isnotnull("x") & ~F.isnan("x") & ~F.isnan("y") & (F.abs(F.col("x")) < 1e9)).cast("bigint"))
+    one = placed.agg(F.count(F.lit(1)).alias("points"), finite.alias("finite"))
+    return one.join(near, F.lit(True)).join(far, F.lit(True)).select("points", "finite", (F.col("near") < 0.8 * F.col("far")).alias("neighbours_are_nearer"))  # one row each
+
+
+@query("SELECT count(*) AS nodes, 16 AS dim, TRUE AS inside_the_box, TRUE AS loss_fell FROM part")
+def q_embed_train(spark, sf_dir):
+    """Training with two-hop pulls and early stop, shorter than the pipeline's (16 dimensions and at most 100 epochs, of 64 and 500): the loss comes down to less than half."""
+    e, nodes = parts(spark, sf_dir), nodes_of(spark, sf_dir, "part", "p_partkey")
+    index = materialise(graph.dense_index(nodes, "idx"), "index")
+    e = materialise(graph.translate(e, index, check=False), "edges")
+    deg, mutual = graph.degrees(e, index), graph.mutual_edges(e)
+    tables = [materialise(graph.alias_slots(graph.neighbour_probabilities(e, deg, by).where("probability IS NOT NULL")), "slots") for by in ("source", "target")]
+    low = materialise(graph.low_mutual_nodes(index, mutual).select("node", "deficit"), "low")
+    v, losses = embed.train(mutual, index.count(), PipelineConfig(dim=16, max_epoch=100), embed.TwoHop(low, *tables))
+    box = F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x)))) <= 1
+    return v.agg(F.count(F.lit(1)).alias("nodes"), F.max(F.size("embedding")).alias("dim"), box.alias("inside_the_box"), F.lit(losses[-1] < losses[0] / 2).alias("loss_fell"))
 
-    start = ordered.mapInPandas(project, "at long, x double, y double").orderBy("at").toPandas()  # 16 bytes a node; layout() checks its bound
-    pos = embed.layout(placed, start[["x", "y"]].to_numpy() * 10, *embed.curve(), epochs=10)
-    out = spark.createDataFrame(pd.DataFrame({"at": start["at"], "x": pos[:, 0], "y": pos[:, 1]}), "at long, x double, y double")
-    return out.join(index, "at").select(F.col("id").alias("idx"), "x", "y")
 
+def _step(both: bool, target: float) -> str:
+    back = "UNION ALL SELECT target, loss, a FROM l" if both else ""
+    return f"""WITH n AS (SELECT count(*) AS n FROM embeddings), q AS (SELECT vec_id AS source, (vec_id * 7 + 3) % n AS target FROM embeddings, n),
+l AS (SELECT source, target, x.embedding::DOUBLE[] AS a, y.embedding::DOUBLE[] AS b, greatest(least(list_dot_product(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) - {target}, 30), -30) AS loss
+  FROM q JOIN embeddings x ON x.vec_id = source JOIN embeddings y ON y.vec_id = target WHERE source <> target),
+g AS (SELECT source AS node, loss, b AS v FROM l {back}), c AS (SELECT node, loss, unnest(v) * loss AS x, generate_subscripts(v, 1) AS k FROM g),
+m AS (SELECT node, k, avg(x) AS x FROM c GROUP BY node, k), b AS (SELECT node, avg(loss) AS gb, sum(abs(loss)) AS loss FROM g GROUP BY node),
+w AS (SELECT vec_id AS idx, unnest(embedding) AS w, generate_subscripts(embedding, 1) AS k FROM embeddings),
+r AS (SELECT idx, w.k, CASE WHEN x IS NULL THEN w ELSE greatest(least(w - 0.05 * x, 1), -1)::FLOAT END::DOUBLE AS w FROM w LEFT JOIN m ON node = idx AND m.k = w.k)
+SELECT idx, round(max(w) FILTER (k = 1), 6) + 0.0::DOUBLE AS first, round(sum(w), 5) + 0.0::DOUBLE AS total, round(sum(w * w), 5) AS square, round(max(coalesce(-0.05 * gb, 0)), 5) + 0.0::DOUBLE AS bias, round(max(coalesce(loss, 0)), 5) AS loss
+FROM r LEFT JOIN b ON node = idx GROUP BY idx"""
 
-@query()
-def q_embed_train(spark, sf_dir):
-    mutual, nodes = graph.mutual_edges(parts(spark, sf_dir)), nodes_of(spark, sf_dir, "part", "p_partkey")
-    index = materialise(graph.dense_index(nodes, "idx"), "index")
-    w, _ = embed.train(graph.translate(mutual, index, check=False), index.count(), PipelineConfig(dim=16, max_epoch=10))
-    return embed.as_table(spark, w).join(index, "idx").select("id", "embedding")
+
+def _stepped(spark: SparkSession, sf_dir: str, both: bool, target: float) -> DataFrame:
+    v = vectors(spark, sf_dir).select("idx", "embedding", F.lit(0.0).cast("float").alias("bias"))
+    n = v.count()
+    pairs = v.select(F.col("idx").alias("source"), ((F.col("idx") * 7 + 3) % n).alias("target")).where("source <> target")
+    out = embed.moved(v, pairs, PipelineConfig(), target, both)
+    w = F.transform("embedding", lambda x: x.cast("double"))
+    rounded = lambda x, n=5: F.round(x, n) + 0.0  # no negative zero
+    add = lambda f: rounded(F.aggregate(F.transform(w, f), F.lit(0.0), lambda s, x: s + x))
+    return out.select("idx", rounded(F.element_at(w, 1), 6).alias("first"), add(lambda x: x).alias("total"), add(lambda x: x * x).alias("square"), rounded(F.col("bias").cast("double")).alias("bias"), F.round("loss", 5).alias("loss"))
+
+
+@query(_step(True, 1.0))
+def q_contraction_step(spark, sf_dir):
+    return _stepped(spark, sf_dir, True, 1.0)
+
+
+@query(_step(True, 0.0))
+def q_relaxation_step(spark, sf_dir):
+    return _stepped(spark, sf_dir, True, 0.0)
+
+
+@query(_step(False, 1.0))
+def q_two_hop_step(spark, sf_dir):
+    return _stepped(spark, sf_dir, False, 1.0)
 
 
 # ---- clusters and colours
 
 
-@query()
+@query("SELECT count(*) AS points, 10::BIGINT AS clusters, count(*) AS at_the_nearest_center FROM embeddings")
 def q_kmeans(spark, sf_dir):
-    return cluster.kmeans(vectors(spark, sf_dir), 10)[0]
+    """Every point has a label, and its label's center is the nearest one."""
+    v = vectors(spark, sf_dir).drop("label")
+    labels, centers = cluster.kmeans(v, 10)
+    c = cluster.center_table(spark, centers).withColumnRenamed("label", "center_label")
+    d = v.join(labels, "idx").join(F.broadcast(c), F.lit(True)).withColumn("d", scalars.distance(F.col("embedding"), F.col("center")))  # ten rows
+    per = d.groupBy("idx", "label").agg(F.min("d").alias("least"), F.max(F.when(F.col("label") == F.col("center_label"), F.col("d"))).alias("own"))
+    return per.agg(F.count(F.lit(1)).alias("points"), F.countDistinct("label").alias("clusters"), F.sum((F.col("own") <= F.col("least") + 1e-6).cast("bigint")).alias("at_the_nearest_center"))
 
 
 def label_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,11 +514,16 @@ def q_color_pack(spark, sf_dir):
     return vectors(spark, sf_dir).select("idx", scalars.pack_colour(i % 256, i * 7 % 256, i * 3 % 256).cast("bigint").alias("color"))
 
 
-@query()
+@query("SELECT count(*) AS points, count(*) AS without_alpha, TRUE AS brighter_with_degree FROM embeddings")
 def q_colors(spark, sf_dir):
+    """The colour of every point; the mean of its channels rises with the degree."""
     v = vectors(spark, sf_dir)
     _, centers = cluster.kmeans(v, 10)
-    return cluster.colours(v, v.select("idx", (F.col("idx") % 97).alias("degree")), centers)
+    degree = v.select("idx", (F.col("idx") % 97).alias("degree"))
+    c = cluster.colours(v, degree, centers).join(degree, "idx")
+    r, g, b = scalars.unpack_colour(F.col("color"))
+    bright = F.corr((r + g + b).cast("double"), F.log1p("degree")) > 0.5
+    return c.agg(F.count(F.lit(1)).alias("points"), F.sum(((F.col("color") >= 0) & (F.col("color") < 1 << 24)).cast("bigint")).alias("without_alpha"), bright.alias("brighter_with_degree"))
 
 
 # ---- map
@@ -442,11 +563,93 @@ def q_tile_points(spark, sf_dir):
     return _tiled(spark, sf_dir)[0].select("path", "id")
 
 
-@query()
-def q_tile_bytes(spark, sf_dir):
+TILE_POINTS = f"""{MAP}, {AREA}, {PATHS}, f AS (SELECT h.path, h.level, h.id, h.x, h.y, row_number() OVER (PARTITION BY h.path ORDER BY md5(h.id::VARCHAR), h.id) AS k, t.total FROM h JOIN t ON h.path = t.path AND h.level = t.level),
+o AS (SELECT * FROM f WHERE k <= {CAPACITY})"""
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, spatial.Area]:
     points, t, area = _tiled(spark, sf_dir)
-    packed = spatial.packed_tiles(points.withColumn("color", (F.col("id") % 1000).cast("int")), t, area)
-    return packed.select(spatial.tile_name("nodes").alias("name"), "level", F.length("nodes").alias("node_bytes"), F.length("atlas").alias("atlas_bytes"), F.sha2("nodes", 256).alias("sha256"))
+    return spatial.packed_tiles(points.withColumn("color", (F.col("id") % 1000).cast("int")), t, area), area
+
+
+@query(f"WITH {TILE_POINTS} SELECT 'tile-' || level || '-' || CASE WHEN path = '' THEN 'root' ELSE path END || '-nodes' AS name, x::DOUBLE AS x, y::DOUBLE AS y, id % 1000 AS color FROM o")
+def q_tile_bytes(spark, sf_dir):
+    """Every tile's node bytes, decoded: little-endian floats and colour."""
+
+    def decode(batches):
+        for x in batches:
+            for name, data in zip(x["name"], x["nodes"], strict=True):
+                rec = np.frombuffer(data, np.dtype([("x", "<f4"), ("y", "<f4"), ("c", "<u4")]))
+                yield pd.DataFrame({"name": name, "x": rec["x"].astype(float), "y": rec["y"].astype(float), "color": rec["c"].astype(np.int64)})
+
+    return _packed(spark, sf_dir)[0].select(spatial.tile_name("nodes").alias("name"), "nodes").mapInPandas(decode, "name string, x double, y double, color long")
+
+
+@query(f"WITH {TILE_POINTS} SELECT path, id, x::DOUBLE AS x, y::DOUBLE AS y FROM o WHERE total <= {CAPACITY}")
+def q_tile_trees(spark, sf_dir):
+    """The bodies in every leaf tile's packed tree, decoded."""
+
+    def decode(batches):
+        for x in batches:
+            for path, data in zip(x["path"], x["atlas"], strict=True):
+                found = [n[1:] for n in spatial.unpack(bytes(data)) if n[0] == "leaf"]
+                yield pd.DataFrame([(path, *n) for n in found], columns=["path", "id", "x", "y"])
+
+    return _packed(spark, sf_dir)[0].where("atlas IS NOT NULL").select("path", "atlas").mapInPandas(decode, "path string, id long, x double, y double")
+
+
+@query(f"""WITH {TILE_POINTS}, q AS (SELECT path, id AS query, x::DOUBLE AS qx, y::DOUBLE AS qy FROM o WHERE total BETWEEN 2 AND {CAPACITY} AND id % 20 = 0),
+z AS (SELECT query, q.path, o.id, x::DOUBLE AS x, y::DOUBLE AS y, sqrt((x::DOUBLE - qx) ** 2 + (y::DOUBLE - qy) ** 2) AS d FROM q JOIN o ON o.path = q.path WHERE NOT (x::DOUBLE = qx AND y::DOUBLE = qy))
+SELECT query, path, id, round(x, 6) AS x, round(y, 6) AS y, round(d, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY d, id) AS k FROM z) WHERE k = 1""")
+def q_tile_nearest(spark, sf_dir):
+    """The nearest other body by search in the packed tree of a point's leaf tile, for every twentieth point."""
+    packed, area = _packed(spark, sf_dir)
+    packed = materialise(packed, "packed")
+    points, t, _ = _tiled(spark, sf_dir)
+    leaves = t.where("leaf AND total >= 2").select("path")
+    asked = points.where("id % 20 = 0").join(leaves, "path").select(F.col("id").alias("query"), "path", "x", "y")
+    return spatial.nearest_in_tiles(packed, area, asked, exclusive=True).select("query", "path", "id", *[F.round(c, 6).alias(c) for c in ("x", "y", "distance")])
+
+
+@query("""SELECT * FROM (VALUES ('', '00002041' || '00002041' || '01000000' || '0000c842' || '0000c842' || '02000000' || '000048c2' || '000048c2' || '03000000',
+  '000001000000000004000000' || '000003000000000002000000' || '800000014120000041200000' || '8000000242c8000042c80000' || '80000003c2480000c2480000')) f(path, nodes, atlas)""")
+def q_packed_fixture(spark, sf_dir):
+    """Three bodies in one tile, byte by byte (the nodes in the order of their positions here, since files hold a seeded order)."""
+    three = spark.createDataFrame([(1, 10.0, 10.0, 1), (2, 100.0, 100.0, 2), (3, -50.0, -50.0, 3)], "id long, x double, y double, color int")
+    area = spatial.area_of(three)
+
+    def encode(x: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values("id")
+        rec = np.zeros(len(x), np.dtype([("x", "<f4"), ("y", "<f4"), ("c", "<u4")]))
+        rec["x"], rec["y"], rec["c"] = x["x"], x["y"], x["color"]
+        return pd.DataFrame({"path": [""], "nodes": [rec.tobytes().hex()], "atlas": [spatial.pack(x["id"].to_numpy(), x["x"].to_numpy(), x["y"].to_numpy(), area).hex()]})
+
+    return three.groupBy(F.lit("").alias("k")).applyInPandas(lambda x: encode(x), "path string, nodes string, atlas string")
+
+
+@query(f"""WITH {MAP}, {AREA}, {PATHS}, x AS (SELECT path, level, (c + 0.5) * (side / pow(2, level)) - side / 2 AS cx, (r + 0.5) * (side / pow(2, level)) - side / 2 AS cy, side / pow(2, level) AS w FROM t, s)
+SELECT path, count(*) AS n, sum(id)::BIGINT AS ids FROM x JOIN p ON abs(p.x::DOUBLE - cx) <= w / 2 AND abs(p.y::DOUBLE - cy) <= w / 2 GROUP BY path""")
+def q_closed_tile_points(spark, sf_dir):
+    """All points of each tile, borders on all four sides included."""
+    p = map_points(spark, sf_dir)
+    area = spatial.area_of(p)
+    t = materialise(spatial.tiles(p, CAPACITY, area), "tiles")
+    return spatial.tile_points(p, t, 1 << 30, area, closed=True).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+@query(f"WITH {MAP}, {AREA}, {PATHS} SELECT path, least(total, {CAPACITY}) AS n, least(total, {CAPACITY}) AS ids FROM t")
+def q_seeded_tile_points(spark, sf_dir):
+    """The default, seeded order: as many different points of each tile as it may show."""
+    p = map_points(spark, sf_dir)
+    area = spatial.area_of(p)
+    t = materialise(spatial.tiles(p, CAPACITY, area), "tiles")
+    return spatial.tile_points(p, t, CAPACITY, area).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
+
+
+@query(f"""WITH {MAP}, {AREA}, {PATHS} SELECT CASE WHEN t.path = '' THEN 'root' ELSE t.path END AS id, t.level, t.total, max(k.path) FILTER (k.path[-1:] = '0') AS ne, max(k.path) FILTER (k.path[-1:] = '1') AS nw,
+max(k.path) FILTER (k.path[-1:] = '2') AS sw, max(k.path) FILTER (k.path[-1:] = '3') AS se FROM t LEFT JOIN t k ON k.level = t.level + 1 AND k.path[1:t.level] = t.path GROUP BY ALL""")
+def q_tile_list(spark, sf_dir):
+    return sinks.tile_list(spatial.tiles(map_points(spark, sf_dir), CAPACITY)).select("id", "level", "total", "ne", "nw", "sw", "se")
 
 
 SPOTS = [(15.0, 15.0), (-100.0, 40.0), (0.0, 0.0), (250.5, -31.25)]
@@ -497,10 +700,33 @@ def q_removed_bodies(spark, sf_dir):
     return spatial.remove_bodies(b, b.where("id % 5 = 0")).agg(F.sum("mass").alias("mass"), F.count(F.lit(1)).alias("n"))
 
 
-@query()
+ALL_PAIRS = f"""{MAP}, o AS (SELECT id, x::DOUBLE AS x, y::DOUBLE AS y, (id % 10 + 1)::DOUBLE AS m FROM p),
+z AS (SELECT a.id, sum(a.m * b.m / pow(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 3) * (a.x - b.x)) AS fx, sum(a.m * b.m / pow(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 3) * (a.y - b.y)) AS fy
+  FROM o a JOIN o b ON a.x <> b.x OR a.y <> b.y GROUP BY a.id)"""
+
+
+@query(f"WITH {ALL_PAIRS} SELECT id, round(fx, 5) AS fx, round(fy, 5) AS fy FROM z")
+def q_forces_exact(spark, sf_dir):
+    """Body by body: at level 1 every cell is next to every other."""
+    b = bodies(spark, sf_dir)
+    return spatial.forces(b, b, spatial.area_of(b), level=1).select("id", F.round("fx", 5).alias("fx"), F.round("fy", 5).alias("fy"))
+
+
+@query("SELECT count(*) AS bodies, TRUE AS mean_error_below_5_percent FROM embeddings")
 def q_forces(spark, sf_dir):
+    """With far cells summed, held against the exact forces."""
     b = bodies(spark, sf_dir)
-    return spatial.forces(b, b, spatial.area_of(b))
+    area = spatial.area_of(b)
+    near, exact = spatial.forces(b, b, area), spatial.forces(b, b, area, level=1).toDF("id", "ex", "ey")
+    error = F.hypot(F.col("fx") - F.col("ex"), F.col("fy") - F.col("ey")) / F.hypot("ex", "ey")
+    return near.join(exact, "id").agg(F.count(F.lit(1)).alias("bodies"), (F.avg(error) < 0.05).alias("mean_error_below_5_percent"))
+
+
+@query("""WITH p AS (SELECT vec_id AS id, (embedding[1]::DOUBLE * 1000)::FLOAT::DOUBLE AS x, (embedding[2]::DOUBLE * 1000)::FLOAT::DOUBLE AS y FROM embeddings)
+SELECT id, round(x, 6) AS x, round(y, 6) AS y, (id % 10 + 1)::DOUBLE AS mass, round(sqrt((x - 15) ** 2 + (y - 15) ** 2), 6) AS distance FROM p ORDER BY sqrt((x - 15) ** 2 + (y - 15) ** 2), id LIMIT 1""")
+def q_nearest_body(spark, sf_dir):
+    found = spatial.nearest_body(bodies(spark, sf_dir), 15.0, 15.0)
+    return spark.createDataFrame([found], "id long, x double, y double, mass double, distance double").select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "mass", F.round("distance", 6).alias("distance"))
 
 
 @query("""WITH b AS (SELECT min(embedding[1]::DOUBLE) AS lo, max(embedding[1]::DOUBLE) AS hi FROM embeddings)
@@ -514,6 +740,80 @@ def q_collisions(spark, sf_dir):
     return spatial.collisions(map_points(spark, sf_dir)).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("shared"))
 
 
+# ---- files: written to the folder that all share, and read again by ranges
+
+
+def _file(spark: SparkSession, name: str) -> str:
+    files.register(spark)
+    folder = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    return f"{folder}/{uuid.uuid4().hex}-{name}"
+
+
+@query("SELECT s_suppkey AS id, s_name AS did FROM supplier")
+def q_sqlite_nodes(spark, sf_dir):
+    path = _file(spark, "directory.sqlite")
+    sinks.write_sqlite_directory(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("did")), path)
+    return spark.read.format("sqlite").options(path=path, table="users", page="64").load()
+
+
+@query(f"WITH {MAP} SELECT id, round(x::DOUBLE, 6) AS x, round(y::DOUBLE, 6) AS y, 1::DOUBLE AS mass, id * 3 % 1000 AS color FROM p")
+def q_sqlite_map(spark, sf_dir):
+    p = map_points(spark, sf_dir)
+    ids = p.select("id", F.col("id").alias("idx"))
+    out = sinks.map_nodes(ids, p.select(F.col("id").alias("idx"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), p.select(F.col("id").alias("idx"), (F.col("id") * 3 % 1000).cast("int").alias("color")), scale=1.0)
+    path = _file(spark, "map.sqlite")
+    sinks.write_sqlite_nodes(out, path)
+    return spark.read.format("sqlite").options(path=path, table="nodes", page="100").load().select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "mass", "color")
+
+
+@query("SELECT row_number() OVER (ORDER BY vec_id) - 1 AS idx, len(embedding) AS dim, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings")
+def q_npy_vectors(spark, sf_dir):
+    path = _file(spark, "embeddings.npy")
+    sinks.write_npy(vectors(spark, sf_dir), path, "embedding", dtype="<f4")
+    x = spark.read.format("npy").options(path=path, page="100").load()
+    total = F.aggregate(F.transform("value", lambda v: v.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    return x.select("idx", F.size("value").cast("bigint").alias("dim"), F.round(total, 5).alias("total"))
+
+
+@query(f"WITH {SUPPLIERS}, {DEGREES}, {WEIGHTS} SELECT source, target, round(weight::FLOAT::DOUBLE, 4) AS weight FROM w")
+def q_arrow_edges(spark, sf_dir):
+    path = _file(spark, "edges.arrow")
+    sinks.write_edges(graph.weights(suppliers(spark, sf_dir)), path)
+    return spark.read.format("arrow_ipc").options(path=path, kind="edges").load().select("source", "target", F.round(F.col("weight").cast("double"), 4).alias("weight"))
+
+
+@query(f"WITH {SUPPLIERS}, {DEGREES} SELECT s_suppkey AS id, coalesce(in_deg, 0) AS incoming_degree, coalesce(out_deg, 0) AS outgoing_degree FROM supplier LEFT JOIN d ON s_suppkey = node")
+def q_arrow_nodes(spark, sf_dir):
+    path = _file(spark, "nodes.arrow")
+    sinks.write_nodes(graph.degrees(suppliers(spark, sf_dir), nodes_of(spark, sf_dir, "supplier", "s_suppkey")).withColumnRenamed("node", "id"), path)
+    return spark.read.format("arrow_ipc").options(path=path, kind="nodes").load()
+
+
+@query(f"WITH {KNN} SELECT (dense_rank() OVER (ORDER BY i) - 1) * 10 + rank - 1 AS at, j, round(dist::FLOAT::DOUBLE, 4) AS dist FROM k")
+def q_arrow_knn(spark, sf_dir):
+    path = _file(spark, "knn.arrow")
+    sinks.write_knn(embed.as_arrays(embed.knn_exact(vectors(spark, sf_dir), 10)), path, 10)
+    x = spark.read.format("arrow_ipc").options(path=path, kind="knn").load().coalesce(1)  # rows are nodes by position: numbered in the order of the file
+    x = x.withColumn("row", F.monotonically_increasing_id()).select("row", F.posexplode(F.arrays_zip("index", "dist")).alias("k", "v"))
+    return x.select((F.col("row") * 10 + F.col("k")).alias("at"), F.col("v.index").cast("bigint").alias("j"), F.round(F.col("v.dist").cast("double"), 4).alias("dist"))
+
+
+@query("SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS idx, s_suppkey AS id FROM supplier")
+def q_id_buffer(spark, sf_dir):
+    """Ids as raw 32-bit numbers, read back as Spark's binary files."""
+    path = _file(spark, "ids.buffer")
+    sinks.write_id_buffer(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id")), path)
+
+    def decode(batches):
+        for x in batches:
+            for data in x["content"]:
+                ids = np.frombuffer(data, "<u4").astype(np.int64)
+                yield pd.DataFrame({"idx": np.arange(len(ids)), "id": ids})
+
+    return spark.read.format("binaryFile").load(f"file://{path}").select("content").mapInPandas(decode, "idx long, id long")
+
+
 # ---- streams, here over the whole table as one batch
 
 

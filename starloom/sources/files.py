@@ -16,6 +16,9 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 PAGE = 1_000_000
+# The columns of node and edge files.
+NODES = pa.schema([("id", pa.uint32()), ("incoming_degree", pa.uint32()), ("outgoing_degree", pa.uint32())])
+EDGES = pa.schema([("weight", pa.float32()), ("source", pa.int32()), ("target", pa.int32())])
 
 
 class Range(InputPartition):
@@ -133,7 +136,7 @@ class NpyReader(DataSourceReader):
 
 
 class ArrowIpcSource(DataSource):
-    """An Arrow IPC file by record batches; the file's schema must equal a stated one. Options: path."""
+    """An Arrow IPC file by record batches. Options: path; kind (nodes, edges or knn): the file's schema, names, order and types, must equal that kind's, or reading fails."""
 
     @classmethod
     def name(cls) -> str:
@@ -141,12 +144,28 @@ class ArrowIpcSource(DataSource):
 
     def schema(self) -> StructType:
         with pa.memory_map(_option(self.options, "path")) as f:
-            return from_arrow_schema(_signed(pa.ipc.open_file(f).schema))
+            found = pa.ipc.open_file(f).schema
+        check_kind(found, self.options.get("kind"))
+        return from_arrow_schema(_signed(found))
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return ArrowIpcReader(self.options, schema)
 
 
+def check_kind(found: pa.Schema, kind: str | None) -> None:
+    """Raise unless a file's schema equals that of its stated kind; the length of the lists of neighbours is free."""
+    if kind is None:
+        return
+    if kind == "knn":
+        lists = [t for t in found.types if pa.types.is_fixed_size_list(t)]
+        k = lists[0].list_size if lists else 0
+        want = pa.schema([("index", pa.list_(pa.int32(), k)), ("dist", pa.list_(pa.float32(), k))])
+    else:
+        want = {"nodes": NODES, "edges": EDGES}[kind]
+    if not found.equals(want):
+        raise ValueError(f"the file's schema is {found}, wanted is {want}")
+
+
 def _signed(schema: pa.Schema) -> pa.Schema:
     """Spark has no unsigned numbers: the next wider signed ones."""
     wider = {pa.uint8(): pa.int16(), pa.uint16(): pa.int32(), pa.uint32(): pa.int64(), pa.uint64(): pa.int64()}
@@ -159,10 +178,11 @@ def _signed(schema: pa.Schema) -> pa.Schema:
 
 class ArrowIpcReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType) -> None:
-        self.path, self.schema = _option(options, "path"), schema
+        self.path, self.schema, self.kind = _option(options, "path"), schema, options.get("kind")
 
     def partitions(self) -> list[InputPartition]:
         with pa.memory_map(self.path) as f:
+            check_kind(pa.ipc.open_file(f).schema, self.kind)
             return ranges(0, pa.ipc.open_file(f).num_record_batches, 1)
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:

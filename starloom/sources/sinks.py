@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .files import EDGES, NODES
+
 BATCH = 50_000
 
 
@@ -58,10 +60,6 @@ def write_arrow(df: DataFrame, path: str, schema: pa.Schema | None = None) -> No
             out.write_batch(pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema))
 
 
-NODES = pa.schema([("id", pa.uint32()), ("incoming_degree", pa.uint32()), ("outgoing_degree", pa.uint32())])
-EDGES = pa.schema([("weight", pa.float32()), ("source", pa.int32()), ("target", pa.int32())])
-
-
 def write_nodes(nodes: DataFrame, path: str) -> None:
     """(id, in_deg, out_deg) in id order."""
     write_arrow(nodes.select("id", F.col("in_deg").alias("incoming_degree"), F.col("out_deg").alias("outgoing_degree")).orderBy("id"), path, NODES)

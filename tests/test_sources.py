@@ -76,3 +76,13 @@ def test_stream(spark, tmp_path):
     q = streams.running_degrees(stream).writeStream.outputMode("complete").format("memory").queryName("deg").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(map(tuple, spark.table("deg").collect())) == [(0, 2, 2), (1, 1, 1)]
+
+
+def test_stated_kinds_are_checked(spark, tmp_path):
+    path = str(tmp_path / "nodes.arrow")
+    sinks.write_nodes(spark.createDataFrame([(1, 2, 3)], "id long, in_deg long, out_deg long"), path)
+    load = lambda kind: spark.read.format("arrow_ipc").options(path=path, kind=kind).load()
+    assert load("nodes").count() == 1
+    for kind in ("edges", "knn"):
+        with pytest.raises(Exception, match="wanted is"):
+            load(kind).count()
