@@ -131,3 +131,17 @@ def test_numbered_with_ties_and_totals(spark):
 def test_empty_graph(spark):
     e = spark.createDataFrame([], "source long, target long")
     assert graph.degrees(e).count() == graph.mutual_edges(e).count() == graph.weights(e).count() == graph.components(e).count() == 0
+
+
+def test_scratch_tables_are_removed(spark):
+    from pathlib import Path
+
+    from starloom import scratch
+
+    at = scratch.mark()
+    a, b = (scratch.materialise(spark.range(3 + k), "removal") for k in range(2))
+    paths = [Path(df.inputFiles()[0].removeprefix("file://")).parent for df in (a, b)]
+    scratch.clear(spark, at, keep=(b,))
+    assert not paths[0].exists() and paths[1].exists() and b.count() == 4 and scratch.mark() == at + 1
+    scratch.discard(b)
+    assert not paths[1].exists() and scratch.mark() == at
