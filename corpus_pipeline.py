@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom import scratch
 from starloom.llm import decontaminate, langid, line_dedup, mixing, queries, simhash
 from starloom.llm.common import materialise, table
 
@@ -56,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. Tables that a stage and its predecessor wrote are removed once the stage itself is written."""
+    docs, at = table(spark, sf_dir, "documents"), scratch.mark()
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name)
+        scratch.clear(spark, at, keep=(docs,))
     return docs
