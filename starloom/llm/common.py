@@ -46,7 +46,8 @@ def hash31(*cols: Column) -> Column:
 
 
 def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts may be long: hand Python fewer rows at once than Spark's 10,000."""
+    """Texts may be long: hand Python fewer rows at once than Spark's 10,000. Spark itself ends a batch at spark.sql.execution.arrow.maxBytesPerBatch (64 MB), so that
+    a batch holds that and one text more at most. The setting stays for the session, since results are read later."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -12,8 +12,10 @@ same weights and walks through its texts, and the weights are averaged by tokens
 Counts of the `dictionary` most frequent words (a bound in rows) travel to the executors; the other words of a document meet the count
 table in one join by word, after being pre-aggregated by document.
 
-Null text is empty: it has the end token alone. A null doc_id counts as an empty text for hashes. Repeated rows each get their result and each train. With
-nothing to learn from, base and score still are defined: one count of one, and equal classes.
+Null text is empty: it has the end token alone. A null doc_id counts as an empty text for hashes. Repeated rows each get their result and each train; long texts are
+learnt and scored whole. An empty table gives an empty result; with nothing to learn from, base and score still are defined: one count of one, and equal classes. Words
+of equal count are ordered by their bytes; where the `dictionary` ends among equal counts, all of these are left to the join. Only doc_id, text and what `held_out` names
+are read: other columns are not returned, whatever their names.
 """
 
 from __future__ import annotations

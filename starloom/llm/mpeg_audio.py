@@ -9,7 +9,8 @@ byte count and a seek table come first. The payload is padded with bytes 255 to
 at the next header which another of the same kind follows (or the stream's end); it reads Xing, Info and VBRI tables, verifies the checksums of
 Layer III frames, and gives the exact duration (samples and rate, no float) and every frame's byte offset.
 
-Null text counts as empty; an empty or frameless stream has no frames and duration 0. Rows are independent.
+Null text counts as empty; an empty or frameless stream has no frames and duration 0. Rows are independent: repeated rows and equal texts get equal values, an empty
+table gives an empty result, other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -83,3 +83,43 @@ def test_every_document_teaches(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
     got = lm_score.score(docs, F.col("held")).where("held_out").first()
     assert got["score"] > 0.5 * got["base_score"]
+
+
+def test_tables_equal_the_softmax():
+    """Scores and normalisers of every context, one at a time."""
+    rng = np.random.default_rng(4)
+    k, d = 7, 3
+    m = lm_score.LogBilinear(rng.normal(size=(k + 1, d)), rng.normal(size=(d, d)), rng.normal(size=(d, d)), rng.normal(size=(k, d)), rng.normal(size=k))
+    near, far, z = m.tables(block=2)
+    for h1 in range(k + 1):
+        for h2 in range(k + 1):
+            s = [(m.contexts[h1] @ m.first + m.contexts[h2] @ m.second) @ m.targets[w] + m.bias[w] for w in range(k)]
+            total = math.log(sum(math.exp(x) for x in s))
+            assert all(abs(near[h1, w] + far[h2, w] - z[h2, h1] - (s[w] - total)) < 1e-4 for w in range(k))
+
+
+@pytest.mark.parametrize("dictionary", [60, 200_000])
+def test_every_score_against_plain_loops(docs, texts, crc, dictionary):
+    """The model's probability of every token: its class given the two classes before, times the word's share of its class, with counts from a plain dictionary."""
+    train = docs.select("doc_id", "text", held().alias("held_out")).where("NOT held_out")
+    counts = lm_score.word_counts(train).cache()
+    scorer, _, _ = lm_score.train(train, counts, vocabulary=40, dictionary=dictionary)
+    own = {w: i + 1 + lm_score.RARE for i, w in enumerate(scorer.words[:40])}
+    c, *_ = expected(texts.items(), crc)
+    in_class = {}
+    for w, n in c.items():
+        if w and w not in own:
+            k = lm_score.rare_class(w)
+            in_class[k] = in_class.get(k, 0) + n + 1
+    start = len(scorer.near) - 1
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(docs, held(), vocabulary=40, dictionary=dictionary).collect()}
+    for i, text in texts.items():
+        h1 = h2 = start
+        want = 0.0
+        for w in tokens(text):
+            k = 0 if not w else own.get(w) or lm_score.rare_class(w)
+            want += float(scorer.near[h1, k] + scorer.far[h2, k] - scorer.z[h2, h1]) / math.log(10)
+            if w and w not in own:
+                want += math.log10((c[w] + 1) / (in_class.get(k, 0) + 1))
+            h1, h2 = k, h1
+        assert abs(got[i] - want) < 1e-4 * max(1, abs(want)), i
