@@ -170,6 +170,8 @@ def sample(docs: DataFrame, per_language: int = 250, seed: int = 8) -> list[tupl
     def teach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(lang, x) for lang, text in zip(batch["lang"], batch["text"], strict=True) if has_letter(text) for x in lessons(text)]
+            if not found:  # texts without letters teach nothing, and columns without values have no type that Arrow turns into text
+                continue
             at = [np.flatnonzero(x) for _, x in found]
             yield pd.DataFrame({"lang": [lang for lang, _ in found], "at": [i.astype(np.int32).tobytes() for i in at], "x": [x[i].tobytes() for i, (_, x) in zip(at, found, strict=True)]})
 

@@ -90,3 +90,11 @@ def test_every_column_stays(docs):
     more = docs.select("*", *[F.lit(n).alias(n) for n in names])
     out = langid.identify(more, queries.language_model(docs))
     assert out.columns == [*more.columns, "lang_pred", "score"] and all(r[n] == n for r in out.collect() for n in names)
+
+
+def test_batches_without_letters(spark):
+    """Rows that teach nothing, alone in their batch, are no error."""
+    rows = [(i, "12345 67890 !!!", "en") for i in range(4)] + [(9, "abc def", "xx")]
+    found = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5))
+    assert {lang for lang, _ in found} == {"xx"}
+    assert langid.sample(spark.createDataFrame(rows[:4], "doc_id long, text string, lang string")) == []
