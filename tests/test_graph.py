@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +146,22 @@ def test_scratch_tables_are_removed(spark):
     assert not paths[0].exists() and paths[1].exists() and b.count() == 4 and scratch.mark() == at + 1
     scratch.discard(b)
     assert not paths[1].exists() and scratch.mark() == at
+
+
+def test_pairs_that_are_no_two_hops(spark):
+    """Pairs that meet elsewhere than said are two-hop pairs, others are not, however often they are drawn."""
+    edges = spark.createDataFrame([(1, 10), (2, 10), (1, 11), (3, 11), (3, 12), (1, 10)], "source long, target long")
+    drawn = spark.createDataFrame([(1, 10, 2), (1, 10, 3), (2, 10, 3), (2, 10, 3), (3, 11, 1)], "a long, via long, b long")
+    assert sorted(map(tuple, graph.no_two_hops(drawn, edges).select("a", "b").collect())) == [(2, 3), (2, 3)]
+    assert graph.no_two_hops(drawn.where("via = 10 AND b = 2"), edges).count() == 0
+
+
+def test_alias_of_nodes_over_several_batches():
+    """Nodes that are cut by batches, one of them over three, have the tables that they have in one piece."""
+    sizes = [3, 25, 1, 7]
+    rows = pd.DataFrame({"node": np.repeat(np.arange(4), sizes), "slot": np.concatenate([np.arange(n) for n in sizes]), "neighbour": np.arange(36), "probability": np.concatenate([np.arange(1, n + 1) * 2 / (n * (n + 1)) for n in sizes])})
+    whole = pd.concat([graph._alias(rows[rows.node == k]) for k in range(4)]).reset_index(drop=True)
+    cut = pd.concat(graph._alias_batches(iter([rows[i : i + 10] for i in range(0, 40, 10)]))).reset_index(drop=True)
+    assert cut.equals(whole)
+    chance = whole.prob.groupby(whole.neighbour).sum().add((1 - whole.prob).groupby(whole.alias).sum(), fill_value=0)
+    assert np.allclose(chance.to_numpy(), rows.probability * np.repeat(sizes, sizes))
