@@ -39,6 +39,8 @@ END = b""
 FLUSH = 200_000
 #: Training: tokens shuffled together, and tokens a partition should have at least.
 BUFFER, LEAST = 1 << 18, 1 << 19
+#: Words whose class a task remembers.
+MEMO = 100_000
 
 
 def rare_class(word: bytes) -> int:
@@ -46,6 +48,16 @@ def rare_class(word: bytes) -> int:
     return 1 + crc32(word[-2:]) % RARE
 
 
+class _Classes(dict):
+    """Words of own classes, and the rare classes of up to MEMO words met."""
+
+    def __missing__(self, word: bytes) -> int:
+        k = rare_class(word)
+        if len(self) < MEMO:
+            self[word] = k
+        return k
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flushed() -> pa.RecordBatch:
         out = pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
@@ -184,11 +196,11 @@ def train_nce(texts: DataFrame, own: list[bytes], weights: np.ndarray, tokens: i
             task = TaskContext.get()
             params, weights, own = sent.value
             model = Nce(params, weights, (seed, epoch, task.partitionId() if task else 0))
-            index = {w: i + 1 + RARE for i, w in enumerate(own)}.get
+            classes = _Classes({w: i + 1 + RARE for i, w in enumerate(own)}).__getitem__
             seen, held, waiting = 0, 0, []
             for batch in batches:
                 for text in batch.column(0).to_pylist():
-                    waiting.append(np.array([*(index(w) or rare_class(w) for w in (text.lower().split() if text else ())), 0], np.int32))
+                    waiting.append(np.array([*map(classes, text.lower().split() if text else ()), 0], np.int32))
                     held += len(waiting[-1])
                     if held >= BUFFER:
                         model.learn(waiting)

@@ -123,3 +123,10 @@ def test_every_score_against_plain_loops(docs, texts, crc, dictionary):
                 want += math.log10((c[w] + 1) / (in_class.get(k, 0) + 1))
             h1, h2 = k, h1
         assert abs(got[i] - want) < 1e-4 * max(1, abs(want)), i
+
+
+def test_remembered_classes(monkeypatch):
+    """Classes are the same whether or not there is room to remember them."""
+    monkeypatch.setattr(lm_score, "MEMO", 3)
+    got, words = lm_score._Classes({b"own": 70}), [b"own", b"abc", b"xbc", b"q", b"abc", b"last", b"own"]
+    assert [*map(got.__getitem__, words)] == [70 if w == b"own" else lm_score.rare_class(w) for w in words] and len(got) == 3
