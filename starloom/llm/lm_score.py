@@ -9,6 +9,7 @@ with one share for the unseen. The score of a token given its context h is (C1 r
 learnt in NumPy by NCE with noise from the class counts, from every token of every training document: in each of two passes, each partition starts from the
 same weights and walks through its texts, and the weights are averaged by tokens (so they depend a little on how the table is partitioned). Since there are few classes, batched matrix products give the normaliser of every context once; scoring gathers from these tables.
 
+Words are cut, looked up and counted by array: a chunk of texts is one array of words, whatever their length, and no word becomes an object of its own.
 Counts of the `dictionary` most frequent words (a bound in rows) travel to the executors; the other words of a document meet the count
 table in one join by word, after being pre-aggregated by document.
 
@@ -20,14 +21,14 @@ are read: other columns are not returned, whatever their names.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import cache
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ from .common import arrow_batches, materialise
 
 RARE = 64
 END = b""
-FLUSH = 200_000
+#: Tokens that are counted together, and bytes of text (or one text) that are cut together.
+FLUSH, CHUNK = 1 << 21, 1 << 22
 #: Training: tokens shuffled together, and tokens a partition should have at least.
 BUFFER, LEAST = 1 << 18, 1 << 19
 #: Words whose class a task remembers.
@@ -49,7 +51,7 @@ def rare_class(word: bytes) -> int:
 
 
 class _Classes(dict):
-    """Words of own classes, and the rare classes of up to MEMO words met."""
+    """Words of own classes, and the rare classes of up to MEMO words met: Words.classes() in plain form."""
 
     def __missing__(self, word: bytes) -> int:
         k = rare_class(word)
@@ -58,21 +60,80 @@ class _Classes(dict):
         return k
 
 
+@cache
+def _rare_classes() -> np.ndarray:
+    """rare_class() by the last byte plus 256 times the one before, then by the byte of words that have one."""
+    return np.array([rare_class(bytes((i >> 8, i & 255))) for i in range(1 << 16)] + [rare_class(bytes((i,))) for i in range(256)], np.int32)
+
+
+class Words:
+    """The words of some texts: `words` (one array), `sizes` (words of each text) and `ends` (of the words, in `data`)."""
+
+    def __init__(self, texts: list[bytes | None]) -> None:
+        joined = b"".join((b" ", *(x for t in texts for x in (t or b"", b" ")))).lower()
+        every = np.frombuffer(joined, np.uint8)
+        space = (every == 32) | ((every - np.uint8(9)) < 5)
+        edges = np.flatnonzero(space[1:] != space[:-1])  # a word begins after an even one and ends with an odd one
+        borders = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+        self.sizes = np.diff(np.searchsorted(edges[::2], borders))
+        self.data = every[~space]
+        self.ends = np.cumsum(edges[1::2] - edges[::2])
+        offsets = np.concatenate((np.zeros(1, np.int64), self.ends.astype(np.int64)))
+        self.words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.ends), [None, pa.py_buffer(offsets), pa.py_buffer(self.data)])
+
+    def find(self, known: pa.Array) -> np.ndarray:
+        """Each word's place among the `known`, or -1."""
+        return pc.fill_null(pc.index_in(self.words, value_set=known), -1).to_numpy(zero_copy_only=False)
+
+    def rare(self) -> np.ndarray:
+        """Each word's rare class."""
+        last = self.ends - 1
+        single = np.diff(self.ends, prepend=0) == 1
+        return _rare_classes()[self.data[last] + np.where(single, 1 << 16, self.data[last - 1].astype(np.int64) << 8)]
+
+    def classes(self, own: pa.Array) -> np.ndarray:
+        """Each word's class: that of its own, or its rare one."""
+        found = self.find(own)
+        return np.where(found < 0, self.rare(), found + 1 + RARE)
+
+    def places(self) -> np.ndarray:
+        """Each word's place among all tokens, when an end token follows each text."""
+        return np.arange(len(self.ends)) + np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+
+def binaries(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.large_binary())
+
+
+def _chunks(texts: pa.Array) -> Iterator[list[bytes | None]]:
+    """Texts in order, in lists of up to CHUNK bytes or of one text."""
+    part, size = [], 0
+    for text in texts.to_pylist():
+        if part and size + len(text or b"") > CHUNK:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text or b"")
+    if part:
+        yield part
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flushed() -> pa.RecordBatch:
-        out = pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-        seen.clear()
-        return out
+    def counted() -> pa.RecordBatch:
+        found = pc.value_counts(pa.chunked_array(held, pa.large_binary()))
+        words, c = pa.concat_arrays([found.field(0), binaries([END])]), pa.concat_arrays([found.field(1), pa.array([ends], pa.int64())])
+        return pa.record_batch([words.cast(pa.binary()), c], names=["word", "c"])
 
-    seen: Counter[bytes] = Counter()
+    held, ends, size = [], 0, 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(text.lower().split() if text else ())
-            seen[END] += 1
-            if len(seen) >= FLUSH:
-                yield flushed()
-    if seen:
-        yield flushed()
+        for part in _chunks(batch.column(0)):
+            held.append(Words(part).words)
+            ends, size = ends + len(part), size + len(held[-1])
+            if size >= FLUSH:
+                yield counted()
+                held, ends, size = [], 0, 0
+    if ends:
+        yield counted()
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -114,12 +175,12 @@ def start_weights(weights: np.ndarray, dim: int = 32, seed: int = 1) -> list[np.
 
 
 def _sums(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of `values` by row number `at`."""
-    order = np.argsort(at.astype(np.uint16) if rows <= 1 << 16 else at, kind="stable")  # 16 bits are sorted by radix
-    found = at[order]
-    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-    out = np.zeros((rows, *values.shape[1:]), np.float32)
-    out[found[first]] = np.add.reduceat(values[order], first, axis=0)
+    """Sums of `values` (a matrix) by row number `at`."""
+    out = np.zeros((rows, values.shape[1]), np.float32)
+    kind = np.float32 if values.shape[1] % 2 else np.complex64  # as complex numbers, two columns are added at once
+    into, values = out.view(kind), np.ascontiguousarray(values, np.float32).view(kind)
+    width = into.shape[1]
+    np.add.at(into.reshape(-1), (at[:, None] * width + np.arange(width)).ravel(), values.ravel())
     return out
 
 
@@ -137,39 +198,47 @@ class Nce:
         """One pass in random order over class sequences, ends included. A batch shares its noise, so that scores are matrix products."""
         k, log_noise = len(self.logp), np.float32(np.log(self.noise))
         target = np.concatenate(texts)
-        before = np.concatenate([np.concatenate(([k], t[:-1])) for t in texts])
-        further = np.concatenate([np.concatenate(([k, k], t[:-2]))[: len(t)] for t in texts])
+        first = np.cumsum([0, *map(len, texts[:-1])])
+        before, further = np.roll(target, 1), np.roll(target, 2)
+        before[first] = further[first] = k
+        further[first[np.diff(first, append=len(target)) > 1] + 1] = k
         order = self.rng.permutation(len(target))
         for at in range(0, len(order), self.batch):
             i = order[at : at + self.batch]
-            w, h1, h2 = target[i], before[i], further[i]
+            w, h1, h2 = (x.take(i).astype(np.intp) for x in (target, before, further))
             r, c1, c2, t, b = self.params
-            r1, r2, tw = r[h1], r[h2], t[w]
-            q = r1 @ c1 + r2 @ c2
+            # Products by context, of which there are fewer than tokens; q has a last column of ones, for biases.
+            q = np.column_stack((r @ c1, np.ones(k + 1, np.float32))).take(h1, 0)
+            q += np.column_stack((r @ c2, np.zeros(k + 1, np.float32))).take(h2, 0)
+            tw = t.take(w, 0)
             drawn = np.searchsorted(self.sums, self.rng.random(self.noise), side="right")
             tn = t[drawn]
             # The odds that a token is data and not one of the noise: s - log(noise * p).
-            data = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", q, tw) + b[w] - log_noise - self.logp[w], -30, 30)))
-            gf = q @ tn.T
-            gf += b[drawn] - log_noise - self.logp[drawn]
-            np.clip(gf, -30, 30, out=gf)
-            np.negative(gf, out=gf)
-            np.exp(gf, out=gf)
+            data = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", q[:, :-1], tw) + b[w] - log_noise - self.logp[w], -30, 30)))
+            gf = q @ -np.column_stack((tn, b[drawn] - log_noise - self.logp[drawn])).T
+            with np.errstate(over="ignore"):  # beyond all numbers: odds of 0
+                np.exp(gf, out=gf)
             gf += 1
             np.divide(np.float32(-1 / len(i)), gf, out=gf)  # minus the odds of the noise, by token
             gd = (1 - data) / np.float32(len(i))
-            gq = gd[:, None] * tw + gf @ tn
-            both = np.concatenate((w, drawn))
+            gq = gf @ tn
+            tw *= gd[:, None]
+            gq += tw
+            by_noise = gf.T @ q
+            near, far = _sums(k + 1, h1, gq), _sums(k + 1, h2, gq)
             grads = [
-                _sums(k + 1, h1, gq @ c1.T),
-                r1.T @ gq,
-                r2.T @ gq,
-                _sums(k, both, np.concatenate((gd[:, None] * q, gf.T @ q))),
-                _sums(k, both, np.concatenate((gd, gf.sum(0)))),
+                near @ c1.T,
+                r.T @ near,
+                r.T @ far,
+                _sums(k, w, gd[:, None] * q[:, :-1]) + _sums(k, drawn, by_noise[:, :-1]),
+                (np.bincount(w, gd, k) + np.bincount(drawn, by_noise[:, -1], k)).astype(np.float32),
             ]
             for x, g, s in zip(self.params, grads, self.square, strict=True):
                 s += g * g
-                x += self.rate * g / np.sqrt(s)
+                step = np.sqrt(s)
+                np.divide(g, step, out=step)
+                step *= self.rate
+                x += step
 
 
 def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,15 +265,19 @@ def train_nce(texts: DataFrame, own: list[bytes], weights: np.ndarray, tokens: i
             task = TaskContext.get()
             params, weights, own = sent.value
             model = Nce(params, weights, (seed, epoch, task.partitionId() if task else 0))
-            classes = _Classes({w: i + 1 + RARE for i, w in enumerate(own)}).__getitem__
+            own = binaries(own)
             seen, held, waiting = 0, 0, []
             for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    waiting.append(np.array([*map(classes, text.lower().split() if text else ()), 0], np.int32))
-                    held += len(waiting[-1])
-                    if held >= BUFFER:
-                        model.learn(waiting)
-                        seen, held, waiting = seen + held, 0, []
+                for part in _chunks(batch.column(0)):
+                    words = Words(part)
+                    tokens = np.zeros(len(words.ends) + len(part), np.int32)
+                    tokens[words.places()] = words.classes(own)
+                    for text in np.split(tokens, np.cumsum(words.sizes + 1)[:-1]):
+                        waiting.append(text)
+                        held += len(text)
+                        if held >= BUFFER:
+                            model.learn(waiting)
+                            seen, held, waiting = seen + held, 0, []
             if waiting:
                 model.learn(waiting)
                 seen += held
@@ -238,29 +311,49 @@ class Scorer:
     end_log: float
 
     def ready(self) -> Scorer:
-        self.get = {w: i for i, w in enumerate(self.words)}.get
+        self.known = binaries(self.words)
         rare = np.array([rare_class(w) for w in self.words], np.int32)
         mine = np.arange(len(self.words), dtype=np.int32)
         self.classes = np.where(mine < self.own, mine + 1 + RARE, rare)
         lc = np.log10(self.counts + 1.0)
-        self.base = lc - self.base_log
-        self.inner = np.where(mine < self.own, 0.0, lc - self.class_log[rare])
+        # The last of these is for words that the dictionary lacks.
+        self.base = np.append(lc - self.base_log, 0.0)
+        self.inner = np.append(np.where(mine < self.own, 0.0, lc - self.class_log[rare]), 0.0)
         return self
 
-    def text(self, words: list[bytes]) -> tuple[int, float, float, Counter]:
-        """(known tokens, base, score) of a text as far as the dictionary goes, and the words that it lacks."""
-        found = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
-        lacks = np.flatnonzero(found < 0)
-        has = found[found >= 0] if len(lacks) else found
-        classes = np.zeros(len(words) + 1, np.int64)
-        classes[:-1] = self.classes[found] if len(self.words) else 0
-        missing = [words[i] for i in lacks.tolist()]
-        classes[lacks] = [rare_class(w) for w in missing]
+    def texts(self, texts: list[bytes | None]) -> tuple[list[np.ndarray], pa.Array]:
+        """Of each text its tokens, known tokens, base and score as far as the dictionary goes; and the words that it lacks, with class and number."""
+        words = Words(texts)
+        found, rare, places = words.find(self.known), words.rare(), words.places()
+        tokens = words.sizes + 1
+        ends = np.cumsum(tokens)
+        first = ends - tokens
+        classes = np.zeros(ends[-1], np.int64)
+        classes[places] = np.where(found < 0, rare, np.append(self.classes, 0)[found])
         start = len(self.near) - 1
-        before = np.concatenate(([start], classes[:-1]))
-        further = np.concatenate(([start, start], classes[:-2]))[: len(classes)]
-        model = float((self.near[before, classes] + self.far[further, classes] - self.z[further, before]).sum(dtype=np.float64)) / np.log(10)
-        return len(has) + self.known_end, float(self.base[has].sum()) + self.end_log, model + float(self.inner[has].sum()), Counter(missing)
+        before, further = np.roll(classes, 1), np.roll(classes, 2)
+        before[first] = further[first] = further[first[tokens > 1] + 1] = start
+        k = self.near.shape[1]
+        by_token = self.near.ravel()[before * k + classes] + self.far.ravel()[further * k + classes] - self.z.ravel()[further * (k + 1) + before]
+
+        def sums(of_words: np.ndarray) -> np.ndarray:
+            """By text, of a value a word."""
+            full = np.zeros(ends[-1])
+            full[places] = of_words
+            return np.add.reduceat(full, first)
+
+        known = sums(found >= 0).astype(np.int64) + self.known_end
+        model = np.add.reduceat(by_token.astype(np.float64), first) / np.log(10)
+        lacks = np.flatnonzero(found < 0)
+        missing = pc.dictionary_encode(words.words.take(pa.array(lacks)))
+        code, several = missing.indices.to_numpy().astype(np.int64), max(1, len(missing.dictionary))
+        pair, one, n = np.unique((places[lacks] - lacks) * several + code, return_index=True, return_counts=True)
+        row = pa.StructArray.from_arrays(
+            [missing.dictionary.take(pa.array(pair % several)).cast(pa.binary()), pa.array(rare[lacks[one]], pa.int32()), pa.array(n, pa.int32())], names=["w", "k", "n"]
+        )
+        offsets = np.searchsorted(pair // several, np.arange(len(texts) + 1))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), row)
+        return [tokens, known, sums(self.base[found]) + self.end_log, model + sums(self.inner[found])], lists
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -319,21 +412,22 @@ def score(docs: DataFrame, held_out, vocabulary: int = 900, dictionary: int = 20
         if not made:
             made.append(sent.value.ready())
         for batch in batches:
-            out, offsets, w, k, n = [], [0], [], [], []
-            for text in batch.column(2).to_pylist():
-                words = text.lower().split() if text else []
-                known, base, model, rare = made[0].text(words)
-                out.append((len(words) + 1, known, base, model))
-                w += rare
-                k += map(rare_class, rare)
-                n += rare.values()
-                offsets.append(len(w))
-            rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(w, pa.binary()), pa.array(k, pa.int32()), pa.array(n, pa.int32())], names=["w", "k", "n"]))
-            tokens, known, base, model = (list(x) for x in zip(*out, strict=True)) if out else ([], [], [], [])
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()), rare],
-                names=["doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"],
-            )
+            at = 0
+            for part in _chunks(batch.column(2)):
+                (tokens, known, base, model), rare = made[0].texts(part)
+                yield pa.record_batch(
+                    [
+                        batch.column(0).slice(at, len(part)),
+                        batch.column(1).slice(at, len(part)),
+                        pa.array(tokens, pa.int64()),
+                        pa.array(known, pa.int64()),
+                        pa.array(base, pa.float64()),
+                        pa.array(model, pa.float64()),
+                        rare,
+                    ],
+                    names=["doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"],
+                )
+                at += len(part)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     done = rows.select("doc_id", "held_out", F.col("text").cast("binary")).mapInArrow(parts, _PARTS.format(id=kind))

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,56 @@ def test_remembered_classes(monkeypatch):
     monkeypatch.setattr(lm_score, "MEMO", 3)
     got, words = lm_score._Classes({b"own": 70}), [b"own", b"abc", b"xbc", b"q", b"abc", b"last", b"own"]
     assert [*map(got.__getitem__, words)] == [70 if w == b"own" else lm_score.rare_class(w) for w in words] and len(got) == 3
+
+
+ODD = [None, b"", b" \t", b"a", b"One two\nONE  a\x00b\x0b\xc3\x89t\xc3\xa9 \x1c\x85 \xff\xfe", b"x", b"  lead and trail\r\n", b"b " * 50, b"long" * 500 + b" a"]
+
+
+@pytest.mark.parametrize("chunk", [1, 40, 1 << 22])
+def test_words_by_array_equal_words_one_by_one(monkeypatch, chunk):
+    """Cut, looked up and counted by array, in chunks of any size, words are what bytes.split() gives, and so are their counts."""
+    monkeypatch.setattr(lm_score, "CHUNK", chunk)
+    monkeypatch.setattr(lm_score, "FLUSH", 5)
+    plain = [(t or b"").lower().split() for t in ODD]
+    own = [b"one", b"a", b"long" * 500]
+    classes = lm_score._Classes({w: i + 1 + lm_score.RARE for i, w in enumerate(own)})
+    parts = [*lm_score._chunks(pa.array(ODD, pa.binary()))]
+    assert [t for part in parts for t in part] == ODD and (len(parts) > 1) == (chunk < 1 << 22)
+    cut = [lm_score.Words(part) for part in parts]
+    assert [w for x in cut for w in x.words.to_pylist()] == [w for words in plain for w in words]
+    assert [n for x in cut for n in x.sizes] == [*map(len, plain)]
+    assert [k for x in cut for k in x.classes(lm_score.binaries(own))] == [classes[w] for words in plain for w in words]
+    counted = Counter()
+    for out in lm_score._count(iter([pa.record_batch([pa.array(ODD[i : i + 4], pa.binary())], names=["text"]) for i in range(0, len(ODD), 4)])):
+        for w, n in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            counted[w] += n
+    assert counted == Counter(w for words in plain for w in (*words, b""))
+
+
+def test_training_step_against_plain_gradients():
+    """One batch of training, token by token: gradients of the noise-contrastive objective, then Adagrad."""
+    rng = np.random.default_rng(2)
+    texts = [np.array([*rng.integers(1, 8, n), 0], np.int32) for n in (0, 1, 2, 9)]
+    weights = np.arange(8, 0, -1.0)
+    model, rng = lm_score.Nce(lm_score.start_weights(weights, dim=5), weights, 3, noise=4), np.random.default_rng(3)
+    r, c1, c2, t, b = (x.astype(float) for x in model.params)
+    model.learn(texts)
+    total = sum(map(len, texts))
+    rng.permutation(total)
+    p = (weights + 1) / (weights + 1).sum()
+    drawn = np.searchsorted(np.cumsum(p)[:-1], rng.random(4), side="right")
+    want = [np.zeros_like(x) for x in (r, c1, c2, t, b)]
+    for text in texts:
+        for at, w in enumerate(text):
+            h1, h2 = (text[at - i] if at >= i else 8 for i in (1, 2))
+            q, gq = r[h1] @ c1 + r[h2] @ c2, np.zeros(5)
+            for k, is_data in [(w, 1), *((k, 0) for k in drawn)]:
+                g = (is_data - 1 / (1 + np.exp(-(q @ t[k] + b[k] - np.log(4 * p[k]))))) / total
+                gq += g * t[k]
+                want[3][k] += g * q
+                want[4][k] += g
+            want[0][h1] += c1 @ gq
+            want[1] += np.outer(r[h1], gq)
+            want[2] += np.outer(r[h2], gq)
+    for got, x, g in zip(model.params, (r, c1, c2, t, b), want, strict=True):
+        assert np.allclose(got, x + 0.05 * g / np.sqrt(1e-6 + g * g), atol=1e-4)
