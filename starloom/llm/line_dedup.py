@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key, without
+from .common import text_key, without
 
 OUT = ("n_lines", "n_removed")
 WIDTH = 3
@@ -74,15 +74,11 @@ def windows(docs: DataFrame) -> DataFrame:
 def covered(docs: DataFrame) -> DataFrame:
     """(d, t, covered: positions to remove) for each document (d, t, text) that has any.
 
-    Hashes alone meet first (8 bytes a window, counted before the shuffle); only windows whose hash occurs twice go on with their places.
+    Windows are made and shuffled once; all occurrences of one are sorted together, and a group that does not fit in memory is read from disk.
     """
-    every = windows(docs)
-    twice = every.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
-    found = materialise(every.join(twice, "h1", "left_semi"), "windows")
-    place = F.struct(F.col("d").isNotNull().alias("known"), "d", "t", "p0")
-    # Repeated rows are one document, so a window is repeated if it has two different places.
-    repeated = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last")
-    later = found.join(repeated, ["h1", "h2"]).where(place != F.col("first"))
+    # Repeated rows are one document: their windows have the same places, so those of the first one all rank first.
+    place = Window.partitionBy("h1", "h2").orderBy(F.col("d").asc_nulls_first(), "t", "p0")
+    later = windows(docs).withColumn("nth", F.rank().over(place)).where("nth > 1")
     return later.select("d", "t", F.explode(F.sequence("p0", "p2")).alias("p")).groupBy("d", "t").agg(F.collect_set("p").alias("covered"))
 
 

@@ -116,3 +116,24 @@ def test_every_column_stays(docs):
     more = docs.select("*", *[F.lit(n).alias(n) for n in names])
     out = line_dedup.dedup(more)
     assert out.columns == [*more.columns, *line_dedup.OUT] and all(r[n] == n for r in out.collect() for n in names)
+
+
+def test_windows_are_made_once(spark, docs):
+    """Each text is cut once on the way to the covered positions."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), "text")
+    found = line_dedup.covered(texts.withColumn("text", read.asNondeterministic()("text")))
+    assert found.count() and seen.value == texts.count()
+
+
+def test_a_window_in_very_many_places(spark):
+    """More occurrences than a window function holds in memory, repeated rows and a null id among them."""
+    rows = [(i % 6000 if i % 6000 else None, f"own {i % 6000}\na\nb\nc\nrest {i % 6000}") for i in range(9000)]
+    want = plain(rows)
+    assert run(spark, rows) == sorted(((i, want[i, t]) for i, t in rows), key=str) and want[rows[0]] == rows[0][1] and want[rows[1]] == "own 1\nrest 1"
