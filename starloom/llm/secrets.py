@@ -1,7 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest. DataFrame and SQL functions only.
 
 Candidates: runs of 16 or more key characters with a digit among them, quoted values of an assignment, and private key headers. They are marked
-in the text by one linear pass and split off, which gives each candidate its neighbouring text and its offset.
+in the text by one linear pass and split off, which gives each candidate its neighbouring text and its offset. Nothing is shuffled: the tasks that read the texts
+make the findings.
 
 Features: length; character transitions (changes of class, frequent letter pairs, repeats); coverage by dictionary words; whether it looks like or stands in a
 path or address; neighbouring words that speak for a secret or against; shares of character classes; how it is assigned and quoted.
@@ -15,11 +16,13 @@ stays null. An empty table gives no findings. Ties do not occur: each candidate
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import hash31, sample_below
@@ -43,27 +46,35 @@ FEATURES = (
 )
 
 
+def running_sums(df: DataFrame, name: str) -> DataFrame:
+    """Turns the array column `name` of longs into its running sums, inside the row: after each round an element holds the sum of eight times as many up to itself."""
+    for reach in [8**k for k in range(10)]:  # arrays of up to 2^30
+        more = F.transform(name, lambda x, i: reduce(Column.__add__, [F.coalesce(F.get(name, i - j * reach), F.lit(0)) for j in range(1, 8)], x))  # noqa: B023
+        df = df.withColumn(name, F.when(F.size(name) > reach, more).otherwise(F.col(name)))
+    return df
+
+
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, start, stop, finding, before, after: a row for each candidate."""
-    marked = F.regexp_replace(F.translate(F.col(text), "\x01\x02", "  "), f"({CANDIDATE})", "\x01$1\x02")
-    parts = docs.select("doc_id", F.split(marked, "\x01", -1).alias("p")).where(F.size("p") > 1)
-    # Each part but the first is a candidate, an end mark and what follows; its start is the length of all before, a sum over the text's few candidates.
+    """doc_id, start, stop, finding, before, after: a row for each candidate, made by the task that reads its text."""
+    raw = F.col(text)
+    clean = F.when(raw.contains("\x01") | raw.contains("\x02"), F.translate(raw, "\x01\x02", "  ")).otherwise(raw)  # translate makes an object of each character
+    parts = docs.where(clean.rlike(CANDIDATE)).select("doc_id", F.split(F.regexp_replace(clean, f"({CANDIDATE})", "\x01$1\x02"), "\x01", -1).alias("p"))
+    # Each part but the first is a candidate, an end mark and what follows; its start is the length of all before.
     more = F.size("p") - 1
-    rows = F.arrays_zip(F.slice("p", 1, more).alias("prior"), F.slice("p", 2, more).alias("here"))
-    each = parts.withColumn("uid", F.monotonically_increasing_id()).select("doc_id", "uid", F.posexplode(rows).alias("at", "x"))
-    cut = F.split(F.col("x.here"), "\x02", 2)
-    prior = F.when(F.col("at") == 0, F.col("x.prior")).otherwise(F.translate("x.prior", "\x02", ""))
-    short = each.select(
-        "doc_id",
-        "uid",
-        "at",
-        F.length(prior).cast("bigint").alias("before_n"),
-        cut[0].alias("finding"),
-        F.substring(prior, -CONTEXT, CONTEXT).alias("before"),
-        F.substring(cut[1], 1, CONTEXT).alias("after"),
-    )
-    start = F.sum("before_n").over(Window.partitionBy("uid").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return short.withColumn("start", start).select("doc_id", "start", (F.col("start") + F.length("finding")).alias("stop"), "finding", "before", "after")
+    lengths = F.transform(F.slice("p", 1, more), lambda x, i: (F.length(x) - F.when(i > 0, 1).otherwise(0)).cast("bigint"))
+
+    def cut(here: Column, i: Column) -> Column:
+        finding, prior = F.substring_index(here, "\x02", 1), F.replace(F.get("p", i), F.lit("\x02"), F.lit(""))
+        return F.struct(
+            F.get("start", i).alias("start"),
+            finding.alias("finding"),
+            F.substring(prior, -CONTEXT, CONTEXT).alias("before"),
+            F.substring(here, F.length(finding) + 2, F.lit(CONTEXT)).alias("after"),
+        )
+
+    placed = running_sums(parts.withColumn("start", lengths), "start")
+    each = placed.select("doc_id", F.explode(F.transform(F.slice("p", 2, more), cut)).alias("x"))
+    return each.select("doc_id", "x.start", (F.col("x.start") + F.length("x.finding")).alias("stop"), "x.finding", "x.before", "x.after")
 
 
 def with_features(found: DataFrame) -> DataFrame:
